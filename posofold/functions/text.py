@@ -50,21 +50,32 @@ def map_sql(table: Mapping[str, object]) -> str:
     return f"map({pairs})"
 
 
+def _literal_sql(value, fields: tuple[str, ...] | None) -> str:
+    if fields:
+        parts = ", ".join(f"'{f}', {sql_string(v)}" for f, v in zip(fields, value, strict=True))
+        return f"named_struct({parts})"
+    return sql_string(value)
+
+
+def lookup_struct(table: Mapping[str, tuple], fields: tuple[str, ...], key: Column) -> Column:
+    """The same for several values per key, as one struct."""
+    pairs = ", ".join(f"{sql_string(k)}, {_literal_sql(v, fields)}" for k, v in table.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), key)
+
+
+def first_hit_in(column: str, hits, fields: tuple[str, ...] | None = None) -> Column:
+    """Value of the first keyword that the lower-cased column contains, else NULL."""
+    cases = " ".join(
+        f"WHEN contains(lower({column}), {sql_string(k)}) THEN {_literal_sql(v, fields)}" for k, v in hits
+    )
+    return F.expr(f"CASE WHEN coalesce({column}, '') = '' THEN NULL {cases} END")
+
+
 def lookup(table: Mapping[str, object], key: Column) -> Column:
     """Value of a small fixed table by key, NULL when absent; needs no join."""
     return F.try_element_at(F.expr(map_sql(table)), key)
 
 
-def first_hit(text: Column, hits, otherwise: Column | None = None) -> Column:
-    """Ordered CASE: value of the first keyword that the text contains."""
-    result = None
-    for keyword, value in hits:
-        value = value if isinstance(value, Column) else F.lit(value)
-        test = text.contains(keyword)
-        result = F.when(test, value) if result is None else result.when(test, value)
-    return result if otherwise is None else result.otherwise(otherwise)
-
-
 def with_missing(df, columns, dtype: str = "string"):
     """Add the given columns as NULL where the frame lacks them."""
     have = set(df.columns)

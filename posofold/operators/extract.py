@@ -230,9 +230,10 @@ def extract_elements(
     ``text`` itself is replaced by the tagged text.
     """
     elements = tuple(e for e in ELEMENTS if only is None or e.key in only)
-    kept = [c for c in df.columns if c != text]
+    kept = df.drop(text).columns
     df, state = claim_elements(df, text, only)
     df = read_fields(df, elements)
     tagged = F.trim(F.regexp_replace(decode(F.col(state)), r"\s+", " "))
     new = [c for e in elements for c in (f"{e.key}_pattern", *element_columns(e))]
-    return df.select(*kept, tagged.alias(text), *new)
+    df = df.withColumns({text: tagged})
+    return df.selectExpr(*[f"`{c}`" for c in kept], text, *new)
