@@ -22,14 +22,10 @@ def unite(real: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def regroup(normalised: DataFrame, ordered: bool = False) -> DataFrame:
-    """One row per normalised text with summed counts and the screening reason.
-
-    ``variants`` is the number of rows behind the key.
-    """
-    aggregates = [F.sum("dosage_count").alias("dosage_count"), F.count(F.lit(1)).alias("variants")]
-    if "exclude" in normalised.columns:
-        aggregates.append(F.max("exclude").alias("exclude"))
-    grouped = normalised.groupBy(KEY).agg(*aggregates)
+    """One row per normalised text with summed counts; ``variants`` counts its rows."""
+    grouped = normalised.groupBy(KEY).agg(
+        F.sum("dosage_count").alias("dosage_count"), F.count(F.lit(1)).alias("variants")
+    )
     return grouped.orderBy(F.desc("dosage_count")) if ordered else grouped
 
 
@@ -53,12 +49,21 @@ def select_frequent(df: DataFrame, min_count: int | None) -> DataFrame:
     return join_unique(df, keys, "_key", hot, spread, "left_semi").drop("_key")
 
 
-def rejoin(normalised: DataFrame, assessed: DataFrame, grouped: DataFrame) -> DataFrame:
-    """Assessment of each key back to every raw instruction that shares it."""
-    normalised = normalised.drop("exclude")
+def rejoin(
+    normalised: DataFrame, assessed: DataFrame, grouped: DataFrame, keep_screening_reason: bool = True
+) -> DataFrame:
+    """Assessment of each key back to every raw instruction that shares it.
+
+    Screened rows share the blank key with empty ones; the reason of the row itself is
+    kept in front of the one of the key.
+    """
+    normalised = normalised.withColumnRenamed("exclude", "_screened")
     clash = [c for c in assessed.columns if c in normalised.columns and c != KEY]
     hot = hot_keys(grouped, KEY, "variants")
-    return join_unique(normalised, assessed.drop(*clash, "variants"), KEY, hot, ["dosage"])
+    joined = join_unique(normalised, assessed.drop(*clash, "variants"), KEY, hot, ["dosage"])
+    if keep_screening_reason:
+        joined = joined.withColumns({"exclude": F.coalesce("_screened", "exclude")})
+    return joined.drop("_screened")
 
 
 def curated_first(df: DataFrame) -> DataFrame:
