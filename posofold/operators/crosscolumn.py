@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posofold import vocab
+from posofold.functions.fence import fence
 from posofold.functions.text import lookup, number, with_missing, word
 
 _ONCE_A_DAY = "|".join(w for w, how, _ in vocab.WHEN_WORDS if how == "once")
@@ -239,7 +240,8 @@ def check_columns(df: DataFrame) -> DataFrame:
     df = df.withColumns(first).withColumns(second)
     failed = F.concat(F.lit("cross_column_fail: "), F.nullif(_codes(), F.lit("")))
     df = df.withColumns({"cross_column_fail": failed})
-    return df.drop(*first, *second, *[c for c in READS if c not in have])
+    df = df.drop(*first, *second, *[c for c in READS if c not in have])
+    return fence(df, "cross_column_fail")
 
 
 def apply_cross_column_rules(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posofold.functions import coding
+from posofold.functions.fence import fence
 from posofold.functions.text import filled, with_missing
 from posofold.operators.elements import ALL_COLUMNS, KEYS, REGEX_ELEMENTS
 from posofold.operators.fhir import add_dosage, with_text
@@ -200,7 +201,7 @@ def refine(lookup: DataFrame) -> DataFrame:
     new = {**_dose(), **_merged()}
     df = df.withColumns({f"_new_{name}": column for name, column in new.items()})
     df = df.withColumns(_units())
-    df = add_dosage(df, "fhir_json_no_text")
+    df = fence(add_dosage(df, "fhir_json_no_text"), "fhir_json_no_text")
     df = df.withColumns({name: F.col(f"_new_{name}") for name in new})
     body = F.when(F.col("mapped"), F.col("fhir_json_no_text"))
     df = df.withColumns(

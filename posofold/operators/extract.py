@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from posofold import vocab
+from posofold.functions.fence import fence
 from posofold.functions.patterns import anywhere, compile_pattern, needs
 from posofold.functions.stream import GLUE, SEP, decode, encode
 from posofold.functions.text import map_sql, sql_string
@@ -236,4 +237,4 @@ def extract_elements(
     tagged = F.trim(F.regexp_replace(decode(F.col(state)), r"\s+", " "))
     new = [c for e in elements for c in (f"{e.key}_pattern", *element_columns(e))]
     df = df.withColumns({text: tagged})
-    return df.selectExpr(*[f"`{c}`" for c in kept], text, *new)
+    return fence(df.selectExpr(*[f"`{c}`" for c in kept], text, *new), text, *new)

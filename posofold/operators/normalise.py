@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posofold import vocab
+from posofold.functions.fence import fence
 
 SCREENED = "general_fail: removed"
 
@@ -113,4 +114,5 @@ def normalise(df: DataFrame, text: str = "dosage") -> DataFrame:
     df = screen(df, key)
     for step in ("words_to_digits", "units_of_measure", "isolated_terms"):
         df = df.withColumns({key: STEPS[step](F.col(key))})
-    return df.withColumns({key: tidy(STEPS["number_ranges"](STEPS["date_separators"](F.col(key))))})
+    df = df.withColumns({key: tidy(STEPS["number_ranges"](STEPS["date_separators"](F.col(key))))})
+    return fence(df, key, "exclude")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posofold import vocab
+from posofold.functions.fence import fence
 from posofold.functions.text import filled, number
 from posofold.operators.grammar import check_grammar
 
@@ -108,4 +109,5 @@ def validate(df: DataFrame, tagged: str = "dosage_elements") -> DataFrame:
         & F.col("_numeric").isNull()
         & ~filled(F.col("dosage_spare"))
     )
-    return df.withColumns({"mapped": mapped}).drop("_numeric", "grammar_fail")
+    df = df.withColumns({"mapped": mapped}).drop("_numeric", "grammar_fail")
+    return fence(df, "dosage_spare", "exclude", "mapped")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posofold import vocab
+from posofold.functions.fence import fence
 from posofold.functions.text import first_hit_in, first_match, lookup, replace_first
 
 _ADVERB_TO_ROUTE = {adverb: route for route, _, _, adverb in vocab.ROUTES if adverb}
@@ -109,4 +110,5 @@ def read_phrases(df: DataFrame, text: str = "dosage_elements") -> DataFrame:
     clean["site"] = _site("_raw_site")
     new = {f"{e}_clean": c for e, c in clean.items()}
     df = df.withColumns({**new, "route_adverbial": raw["route"], text: F.col(state)})
-    return df.drop(*[f"_raw_{e}" for e in PHRASES], *[f"_text_{e}" for e in PHRASES])
+    df = df.drop(*[f"_raw_{e}" for e in PHRASES], *[f"_text_{e}" for e in PHRASES])
+    return fence(df, *new, "route_adverbial", text)

@@ -79,7 +79,7 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = f"CAST((l_partkey + 31 * l_suppkey + 7 * l_linenumber) % {len(blocks())} AS INT) AS template"
     slots = [f"CAST({sql} AS STRING) AS {name}" for name, sql in SLOTS.items()]
     filled = items.selectExpr(number, *slots, f"{ship} AS SHIP")
-    return filled.select(F.expr(case_sql("text").replace("''", "\\'")).alias("dosage"))
+    return filled.select(F.expr(case_sql("text")).alias("dosage"))
 
 
 WIDE = "take <A> tablets <C> times a day for <Q> days from <SHIP>"
