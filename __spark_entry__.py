@@ -25,7 +25,7 @@ from posofold.operators.grammar import check_grammar
 from posofold.operators.regex_elements import read_leading
 from posofold.plans import jobs
 from posofold.sources import templates
-from posofold.sources.templates import blocks, case_sql, fill, literal, slots_sql
+from posofold.sources.templates import case_sql, fill, literal, slots_sql
 from posofold.sources.vocabulary import normalisation_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,7 +229,7 @@ def queries() -> dict[str, Query]:
         "X10": lambda s, d: _tokens(s, d)
         .where(F.col("doseQuantity_captured").contains("(s)"))
         .select(*ROW, "doseQuantity_units", "doseQuantity_clean"),
-        "X11": lambda s, d: _tokens(s, d)
+        "X11": lambda s, d: _extracted(s, d)
         .where(F.col("dosage_elements").contains("Dashed*"))
         .select(*ROW, "dosage_elements"),
         "T1_T2": _t1,
@@ -436,8 +436,8 @@ def _coded_periods() -> str:
 
 
 def _exploded(column: str, where: str) -> str:
-    codes = f"unnest(string_split(regexp_replace({column}, '^\\w+: ', ''), ', ')) AS code"
-    return _truth(_expected(column), f"WHERE {where}", f"dosage, dosage_count, {codes}")
+    codes = "unnest(string_split(regexp_replace(failed, '^\\w+: ', ''), ', ')) AS code"
+    return _truth({"failed": case_sql(column)}, f"WHERE {where}", f"dosage, dosage_count, {codes}")
 
 
 def _summary() -> str:
@@ -577,8 +577,7 @@ def oracle_sql() -> dict[str, str]:
         "X6": _truth(_expected("doseQuantity_clean", "methodDirect_clean"),
                      "WHERE doseQuantity_clean LIKE '% spray' OR doseQuantity_clean LIKE '% suck'"),
         "X10": _truth(_expected("doseQuantity_units", "doseQuantity_clean"), "WHERE dosage LIKE '%(s)%'"),
-        "X11": _truth({"dosage_elements": case_sql("token_tags")} if any("token_tags" in b for b in blocks()) else
-                      {"dosage_elements": case_sql("tags")}, "WHERE dosage_elements LIKE '%Dashed*%'"),
+        "X11": _truth({"dosage_elements": case_sql("tags")}, "WHERE dosage_elements LIKE '%Dashed*%'"),
         "T1_T2": _truth({**daily, **when}, "WHERE periodElement_clean IS NOT NULL"),
         "T3_T4": _truth(when, "WHERE whenBare_clean IS NOT NULL"),
         "T6": _truth(
@@ -598,10 +597,10 @@ def oracle_sql() -> dict[str, str]:
             f"FROM ({slots_sql()})) GROUP BY ALL"
         ),
         "V0_V1": _truth({"dosage_elements": case_sql("tags"), "grammar_fail": grammar}),
-        "S1_S8_O1_O10": _exploded("exclude", "exclude LIKE 'grammar_fail%'"),
+        "S1_S8_O1_O10": _exploded("exclude", "failed LIKE 'grammar_fail%'"),
         "NV1_NV10": _truth({"numeric_fail": _EXCLUDE}, "WHERE numeric_fail LIKE 'numeric_fail%'"),
         "V2_V3_V4": _truth({"dosage_spare": _SPARE, "exclude": _EXCLUDE, "mapped": _MAPPED}),
-        "CC1_CC13_VC1_VC3": _exploded('"cross"', '"cross" IS NOT NULL').replace('NULL AS "cross"', 'NULL AS "cross"'),
+        "CC1_CC13_VC1_VC3": _exploded("cross", "failed IS NOT NULL"),
         "F1_F14": _truth(
             {"fhir": case_sql("fhir")}, "WHERE fhir IS NOT NULL",
             "dosage, dosage_count, " + ", ".join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posofold.functions.skew import hot_keys, join_unique
+from posofold.functions.skew import SALTS, hot_keys, join_unique
 
 KEY = "dosage_lower"
 
@@ -29,11 +29,12 @@ def regroup(normalised: DataFrame, ordered: bool = False) -> DataFrame:
     return grouped.orderBy(F.desc("dosage_count")) if ordered else grouped
 
 
-def select_frequent(df: DataFrame, min_count: int | None) -> DataFrame:
+def select_frequent(df: DataFrame, min_count: int | None, spread_by: str = "dosage") -> DataFrame:
     """All rows of the keys whose largest ``dosage_count`` reaches ``min_count``.
 
-    The keys are found by an aggregate that combines before the shuffle, so a key with
-    very many rows is never gathered in one window.
+    A window would gather all rows of a key in one task.  Here the qualifying keys are
+    found first; there are at most (all records / ``min_count``) of them, so they can be
+    copied to every salt and the rows of a hot key spread over all salts.
     """
     if min_count is None:
         return df
@@ -44,9 +45,9 @@ def select_frequent(df: DataFrame, min_count: int | None) -> DataFrame:
     df = df.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(KEY)), F.lit("null")))
     # a key qualifies as soon as one of its rows does
     keys = df.where(frequent).select("_key").distinct()
-    hot = hot_keys(df.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows")), "_key", "_rows")
-    spread = [c for c, t in df.dtypes if t in ("string", "bigint", "int") and c != "_key"]
-    return join_unique(df, keys, "_key", hot, spread, "left_semi").drop("_key")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+    keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(keys, ["_key", "_salt"], "left_semi").drop("_key", "_salt")
 
 
 def rejoin(

@@ -19,12 +19,14 @@ def configure(spark: SparkSession) -> SparkSession:
     """Session settings for the long projections of the assessment.
 
     Fusing all of them into one generated method would exceed what the JVM compiles, so
-    wide projections are generated one by one.  AQE stays responsible for partition
-    sizes and skewed joins.
+    wide projections are generated one by one.  The extraction costs much time per byte,
+    so partitions behind a shuffle are kept smaller than the default.
     """
     spark.conf.set("spark.sql.codegen.maxFields", "20")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
     return spark
 
 
