@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def fence(df: DataFrame, *names: str) -> DataFrame:
@@ -15,5 +14,5 @@ def fence(df: DataFrame, *names: str) -> DataFrame:
     exactly one row stops the copying without a shuffle or a cache.  Filters on all
     other columns still pass.
     """
-    others = [c for c in df.columns if c not in names]
-    return df.select(*others, F.inline_outer(F.array(F.struct(*names))))
+    listed = ", ".join(f"`{n}`" for n in names)
+    return df.selectExpr(f"* EXCEPT ({listed})", f"inline_outer(array(struct({listed})))")

@@ -231,10 +231,12 @@ def extract_elements(
     ``text`` itself is replaced by the tagged text.
     """
     elements = tuple(e for e in ELEMENTS if only is None or e.key in only)
-    kept = df.drop(text).columns
     df, state = claim_elements(df, text, only)
     df = read_fields(df, elements)
     tagged = F.trim(F.regexp_replace(decode(F.col(state)), r"\s+", " "))
-    new = [c for e in elements for c in (f"{e.key}_pattern", *element_columns(e))]
     df = df.withColumns({text: tagged})
-    return fence(df.selectExpr(*[f"`{c}`" for c in kept], text, *new), text, *new)
+    scratch = ["_tokens", "_verb", "_done", "_role"]
+    scratch += [f"_{kind}_{e.key}" for e in elements for kind in ("hit", "after", "early")]
+    scratch += [f"{e.key}__{unit}" for e in elements for unit in e.plural_by]
+    new = [c for e in elements for c in (f"{e.key}_pattern", *element_columns(e))]
+    return fence(df.drop(*scratch), text, *new)
