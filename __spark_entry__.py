@@ -28,6 +28,11 @@ from posofold.sources import templates
 from posofold.sources.templates import case_sql, fill, literal, slots_sql
 from posofold.sources.vocabulary import normalisation_rules
 
+try:  # the corpus operators are optional
+    from posofold.llm import queries as corpus_queries
+except ImportError:
+    corpus_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 ROW = ["dosage", "dosage_count"]
 BATCH_CUT = 5  # cut-off that splits the generated corpus as 10000 splits a real one
@@ -266,6 +271,8 @@ def queries() -> dict[str, Query]:
         out[f"G{i}"] = _phrase(key)
     for name, columns in REFINED.items():
         out[name] = _refined_columns(columns)
+    if corpus_queries:
+        out.update(corpus_queries.queries())
     return out
 
 
@@ -637,4 +644,6 @@ def oracle_sql() -> dict[str, str]:
     for i, key in enumerate(REGEX_ELEMENTS, start=1):
         names = [f"{key}_clean"] + (["route_adverbial"] if key == "route" else [])
         out[f"G{i}"] = _truth(_expected(*names), f"WHERE {key}_clean IS NOT NULL")
+    if corpus_queries:
+        out.update(corpus_queries.oracle_sql())
     return out
