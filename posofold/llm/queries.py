@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from posofold.llm import embed_join, exact_dedup, substring
+from posofold.llm import embed_join, exact_dedup, ngram_join, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ _documents, _embeddings, _pages = _table("documents"), _table("embeddings"), _ta
 def queries() -> dict[str, Query]:
     return {
         "op5_substring_dedup": lambda s, d: substring.without_repeats(_documents(s, d), with_text=False),
+        "op6_ngram_jaccard_join": lambda s, d: ngram_join.near_documents(_documents(s, d)),
         "op9_exact_dedup": lambda s, d: exact_dedup.exact_dedup(_documents(s, d)),
         "op10_embedding_near_dedup": lambda s, d: embed_join.near_vectors(_embeddings(s, d)),
     }
