@@ -179,9 +179,9 @@ def packed(docs: DataFrame) -> DataFrame:
     return documents(docs).mapInArrow(_packed, "doc_id long, packed binary")
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    """Rows dealt out by anchor; those without one (already settled) by document."""
-    return rows.withColumn("anchor", F.coalesce("anchor", F.xxhash64("doc_id", "start"))).repartition("anchor")
+def _keyed(rows: DataFrame, *more: str) -> DataFrame:
+    """Rows dealt out by anchor (and more); those without one (already settled) by document."""
+    return rows.withColumn("anchor", F.coalesce("anchor", F.xxhash64("doc_id", "start"))).repartition("anchor", *more)
 
 
 def _settled(docs: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def _settled(docs: DataFrame) -> DataFrame:
     texts = packed(docs)
     unsettled = told.where(F.size("open") > 0).select("doc_id", "open")
     windows = unsettled.join(texts, "doc_id").select("doc_id", "open", "packed").mapInArrow(_windows, _WINDOW_ROW)
-    ranked = _keyed(windows).withColumn("rank", F.rank().over(place))
+    ranked = _keyed(windows, "extension").withColumn("rank", F.rank().over(place))
     more = ranked.select(
         "doc_id",
         F.when(F.col("known").isNotNull(), F.col("known")).when(
