@@ -7,8 +7,9 @@ A document's set holds its distinct ``K``-word shingles, as 64-bit hashes; docum
    each set with the smallest hashes they share m/4.  Shingles of that half which no other set
    has are useless; a set that is left with fewer than n/4 links with nothing, and of u left the
    u - n/4 + 1 rarest suffice: linked sets meet on one of them.  Every block is a shingle.
-2. Each set of a block is checked with the first one of the block.  Blocks whose sets are all
-   connected by then have nothing more to say; blocks with the same members are one.
+2. Each set of a block is checked with the block's most central one, whose shingles are the most
+   common: of copies with edits, the least edited.  Blocks whose sets are all connected by then
+   have nothing more to say; blocks with the same members are one.
 3. Other blocks: shingles are hashed into ``GROUPS`` groups, and the counts by group are a point.
    An R-tree holds the points; the sum of coordinate minima of a point and a node's upper corner
    bounds the overlap with all sets below, so most are never looked at.  Pairs of sets in
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from posofold.llm.common import Rolling, components, documents, hash_words, mix, slices, stored, words
 from posofold.llm.substring import _unpacked, packed
 
-K, GROUPS, TILE, LEAF = 5, 64, 1024, 16
+K, GROUPS, TILE, LEAF = 5, 256, 1024, 16
 
 
 class _Sets:
@@ -89,7 +90,7 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole sets and their counts by group."""
     for batch in slices(_unpacked(batches)):
         s = _Sets(batch.column("text"))
-        group = (s.hashes >> np.uint64(58)).astype(np.int64) % GROUPS
+        group = (s.hashes >> np.uint64(40)).astype(np.int64) % GROUPS
         counts = np.bincount(s.row * GROUPS + group, minlength=len(s.size) * GROUPS).astype(np.int32)
         ends = (s.start + s.size).tolist()
         sets = [s.hashes[a:b].tobytes() for a, b in zip(s.start.tolist(), ends)]
@@ -161,22 +162,22 @@ def _search(table: pa.Table) -> pa.Table:
     ids, comp = table.column("set_id").to_numpy(), table.column("component").to_numpy()
     tile = table.column("tile").to_numpy()
     points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.int32).reshape(len(ids), GROUPS)
-    low = tile.min()
-    indexed = np.flatnonzero(tile == low)
-    asking = np.flatnonzero(tile != low) if (tile != low).any() else indexed
     i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-    a, b = [], []
-    if i == j or (tile != low).any():
+    indexed, asking = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+    if len(indexed) <= 2 * LEAF:  # a tree of two leaves prunes nothing
+        size = points.sum(axis=1)
+        overlap = np.minimum(points[asking][:, None], points[indexed][None]).sum(axis=2)
+        row, column = np.nonzero(7 * overlap >= 3 * (size[asking][:, None] + size[indexed][None]))
+    else:
         tree = RTree(points[indexed])
-        for k in asking:
-            found = indexed[tree.candidates(points[k])]
-            found = found[comp[found] != comp[k]]
-            if i == j:
-                found = found[ids[found] < ids[k]]
-            a.append(ids[found])
-            b.append(np.full(len(found), ids[k]))
-    a = np.concatenate(a) if a else np.zeros(0, np.int64)
-    b = np.concatenate(b) if b else np.zeros(0, np.int64)
+        found = [tree.candidates(points[k]) for k in asking]
+        row = np.repeat(np.arange(len(asking)), [len(x) for x in found])
+        column = np.concatenate(found) if found else row
+    a, b = indexed[column], asking[row]
+    taken = comp[a] != comp[b]
+    if i == j:
+        taken &= ids[a] < ids[b]
+    a, b = ids[a[taken]], ids[b[taken]]
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
@@ -187,7 +188,7 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """(shingle, set_id, n): blocks in which all linked sets meet."""
+    """(shingle, set_id, n, central): blocks in which all linked sets meet."""
     halves = docs.where("doc_id is not null").mapInArrow(_low_half, "shingle long, set_id long, n int")
     alike = Window.partitionBy("shingle")
     shared = halves.withColumns({
@@ -195,8 +196,9 @@ def _blocks(docs: DataFrame) -> DataFrame:
     }).where("low < high")
     one = Window.partitionBy("set_id")
     ranked = shared.withColumn("rank", F.dense_rank().over(one.orderBy("df", "shingle")))
-    ranked = ranked.withColumn("left", F.max("rank").over(one)).withColumn("least", F.ceil(F.col("n") / 4))
-    return ranked.where("left >= least and rank <= left - least + 1").select("shingle", "set_id", "n")
+    ranked = ranked.withColumns({"left": F.max("rank").over(one), "central": F.sum("df").over(one) / F.col("n")})
+    ranked = ranked.withColumn("least", F.ceil(F.col("n") / 4)).where("left >= least and rank <= left - least + 1")
+    return ranked.select("shingle", "set_id", "n", "central")
 
 
 def _residual(blocks: DataFrame, connected: DataFrame, sets: DataFrame) -> DataFrame:
@@ -228,9 +230,11 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spoken = sizes.where("doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     texts = active.join(spoken, "set_id").join(packed(docs), "doc_id").select("set_id", "packed")
     sets = stored(texts.mapInArrow(_whole, "set_id long, shingles binary, point binary"), "sets")
-    leader = F.min(F.struct("set_id", "n")).over(Window.partitionBy("shingle")).alias("first")
+    leader = F.max(F.struct("central", "set_id", "n")).over(Window.partitionBy("shingle")).alias("first")
     first = blocks.select("set_id", "n", leader).where("first.set_id <> set_id and 4 * n >= 3 * first.n and 3 * n <= 4 * first.n")
-    pairs = first.select(F.col("first.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
+    pairs = first.select(
+        F.least("first.set_id", "set_id").alias("a"), F.greatest("first.set_id", "set_id").alias("b")
+    ).distinct()
     near = stored(_checked(pairs, sets), "links")
     more = stored(_checked(_residual(blocks, components(near), sets), sets), "links")
     return sizes, near.union(more)
