@@ -8,8 +8,9 @@ for the pivot h nearest to x, and the plane between h and q gives the sharper
 (label, cell) then joins its own vectors with its visitors and no other cell is needed: every
 y has one home, so each link of x is counted in exactly one cell.
 
-A large cell is cut into blocks of ``BLOCK`` residents and chunks of visitors, joined block by
-chunk, so a task holds a bounded part however hot a label or cell is.  A block emits, for each
+A label has one pivot for about ``CELL`` vectors, so a small one is a single cell.  A large cell
+is cut into blocks of residents and chunks of visitors, joined block by chunk, so a task holds a
+bounded part however hot a label or cell is.  A block emits, for each
 vector, its number of links and one edge to the smallest vector linked with it in that block,
 plus edges that keep the block's linked vectors together: no pairs are listed.
 
@@ -30,10 +31,10 @@ from pyspark.sql import functions as F
 
 from posofold.llm.common import components, stored
 
-#: Pivots are the square root of the number of vectors, within these bounds; so the broadcast
-#: holds at most MAX_PIVOTS vectors.
-MIN_PIVOTS, MAX_PIVOTS = 8, 512
-BLOCK, CHUNK = 1024, 8192
+#: The pivots of all labels are at most about this many vectors; only they are broadcast.
+MAX_PIVOTS = 4096
+CELL, BLOCK, CHUNK = 4096, 4096, 16384
+_STEP = 1024  # rows in one matrix product
 _SLACK = 1e-6  # rounding in the distances to pivots; only candidates depend on it
 
 
@@ -57,31 +58,39 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _placer(pivots: dict[int, np.ndarray], radius: float):
+def _placer(pivots: dict[tuple, np.ndarray], radius: float):
     """For each vector its home cell, and the cells that it visits."""
 
+    def cells(x: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        squared = np.maximum(0, 2 - 2 * (x @ p.T))
+        home = squared.argmin(axis=1)
+        between = np.sqrt(np.maximum(0, 2 - 2 * (p @ p.T)))[home]
+        own = squared[np.arange(len(x)), home][:, None]
+        near = np.sqrt(squared) <= np.sqrt(own) + 2 * radius + _SLACK
+        near &= squared - own <= 2 * between * radius + _SLACK
+        near[np.arange(len(x)), home] = True
+        row, cell = np.nonzero(near)
+        return row, cell, home[row] == cell
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dims = batch.column("dim").to_numpy()
-            for dim in np.unique(dims):
-                part = batch.filter(pa.array(dims == dim))
-                x, p = _unit(_matrix(part.column("v"), int(dim))), pivots[int(dim)]
-                squared = np.maximum(0, 2 - 2 * (x @ p.T))
-                home = squared.argmin(axis=1)
-                between = np.sqrt(np.maximum(0, 2 - 2 * (p @ p.T)))[home]
-                own = squared[np.arange(len(x)), home][:, None]
-                near = np.sqrt(squared) <= np.sqrt(own) + 2 * radius + _SLACK
-                near &= squared - own <= 2 * between * radius + _SLACK
-                near[np.arange(len(x)), home] = True
-                row, cell = np.nonzero(near)
-                taken = part.select(["vec_id", "label"]).take(pa.array(row))
-                flat = pa.array(x[row].ravel())
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim, dtype=np.int32)), flat)
-                yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(cell.astype(np.int32)), pa.array(home[row] == cell), lists,
-                     pa.array(np.full(len(row), dim, np.int32))],
-                    ["vec_id", "label", "cell", "resident", "v", "dim"],
-                )
+        for whole in batches:
+            for start in range(0, whole.num_rows, _STEP):
+                batch = whole.slice(start, _STEP)
+                keys = list(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist()))
+                for key in set(keys):
+                    part = batch.filter(pa.array([k == key for k in keys]))
+                    x = _unit(_matrix(part.column("v"), key[1]))
+                    alone = np.arange(len(x)), np.zeros(len(x), int), np.ones(len(x), bool)
+                    row, cell, resident = cells(x, pivots[key]) if key in pivots else alone
+                    for at in range(0, len(row), 4 * _STEP):
+                        yield piece(part, x, key[1], *(v[at : at + 4 * _STEP] for v in (row, cell, resident)))
+
+    def piece(part, x, dim, row, cell, resident) -> pa.RecordBatch:
+        taken = part.select(["vec_id", "label"]).take(pa.array(row))
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * dim), pa.array(x[row].ravel()))
+        columns = [*taken.columns, pa.array(cell.astype(np.int32)), pa.array(resident), lists]
+        columns.append(pa.array(np.full(len(row), dim, np.int32)))
+        return pa.RecordBatch.from_arrays(columns, ["vec_id", "label", "cell", "resident", "v", "dim"])
 
     return place
 
@@ -99,11 +108,11 @@ def _joiner(threshold: float):
         edges = []
         order = np.argsort(ids[residents])
         residents = residents[order]
-        for start in range(0, len(all_of), 1024):
-            part = all_of[start : start + 1024]
+        for start in range(0, len(all_of), _STEP):
+            part = all_of[start : start + _STEP]
             linked = x[part] @ x[residents].T >= threshold
             linked &= ids[part][:, None] != ids[residents][None, :]
-            counts[start : start + 1024] = linked.sum(axis=1)
+            counts[start : start + _STEP] = linked.sum(axis=1)
             some = np.flatnonzero(linked.any(axis=1))
             first[start + some] = ids[residents][linked[some].argmax(axis=1)]
             # One edge for each resident joins it to the smallest of the part linked with it: with
@@ -156,12 +165,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of vectors (vec_id, embedding, label)."""
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
     rows = stored(_usable(vectors), "vectors")
-    found = rows.groupBy("dim").count().orderBy(F.desc("count")).collect()  # one row for each length of vector
-    pivots: dict[int, np.ndarray] = {}
-    for dim, count in ((r["dim"], r["count"]) for r in found):
-        k = min(MAX_PIVOTS, max(MIN_PIVOTS, math.isqrt(count)))
-        chosen = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").limit(k).select("v").collect()
-        pivots[dim] = _unit(np.array([r["v"] for r in chosen], dtype=np.float64).reshape(len(chosen), dim))
+    counts = rows.groupBy("label", "dim").count().where(F.col("count") > CELL)
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    share = min(1 / CELL, MAX_PIVOTS / max(1, total))
+    lot = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(1 << 40)) < int(share * (1 << 40))
+    chosen = rows.join(counts, ["label", "dim"], "left_semi").where(lot)
+    pivots: dict[tuple, list] = {}
+    for r in chosen.select("label", "dim", "v").collect():  # MAX_PIVOTS is what is expected at most
+        pivots.setdefault((r["label"], r["dim"]), []).append(r["v"])
+    pivots = {key: _unit(np.array(v, dtype=np.float64)) for key, v in pivots.items()}
     kind = dict(rows.dtypes)["label"]
     placed = stored(
         rows.mapInArrow(_placer(pivots, radius), f"vec_id long, label {kind}, cell int, resident boolean, v array<double>, dim int"),

@@ -84,10 +84,11 @@ def _vectors(rng):
     return [(i, v, label) for i, (v, label) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("block", [7, 1024])
+@pytest.mark.parametrize("block", [7, 4096])
 def test_vectors_equal_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(embed_join, "BLOCK", block)
     monkeypatch.setattr(embed_join, "CHUNK", 3 * block)
+    monkeypatch.setattr(embed_join, "CELL", 2 * block)
     rows = _vectors(random.Random(5))
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_join.near_vectors(df).collect()}
