@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from posofold.llm import embed_join, exact_dedup, ngram_join, substring
+from posofold.llm import embed_join, exact_dedup, langid, ngram_join, packing, secrets, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +16,19 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folder of the public tokenizers' files.
+TOKENIZERS = os.environ.get("TOKENIZERS", "/opt/tokenizers")
 _documents, _embeddings, _pages = _table("documents"), _table("embeddings"), _table("pages")
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_secret_scan": lambda s, d: secrets.summary(_documents(s, d)),
+        "op4_language_id": lambda s, d: langid.identify(_documents(s, d)),
         "op5_substring_dedup": lambda s, d: substring.without_repeats(_documents(s, d), with_text=False),
         "op6_ngram_jaccard_join": lambda s, d: ngram_join.near_documents(_documents(s, d)),
+        "op7_packing": lambda s, d: packing.pack(_documents(s, d), f"{TOKENIZERS}/word_bpe_49k.json"),
+        "op8_warc": lambda s, d: warc.records(_pages(s, d)),
         "op9_exact_dedup": lambda s, d: exact_dedup.exact_dedup(_documents(s, d)),
         "op10_embedding_near_dedup": lambda s, d: embed_join.near_vectors(_embeddings(s, d)),
     }

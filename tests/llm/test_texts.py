@@ -1,0 +1,168 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from posofold.llm import langid, packing, secrets, warc
+from posofold.llm.queries import TOKENIZERS
+
+DATA = "/root/testdata/sf0.001"
+WORDS = f"{TOKENIZERS}/word_bpe_49k.json"
+ODD = [None, "", " \n", "x", "It's <|endoftext|> é é ́a\x1cb ΣΑΣ İ", "123 456", "a" * 3000, "12 " * 9000, "日本語 テキスト"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").collect()]
+    return list(enumerate(texts + ODD))
+
+
+@pytest.fixture(scope="module")
+def table(spark, docs):
+    rows = [(i, t, "en", "src") for i, t in docs] + [(None, "no id", None, None), (1, docs[1][1], "en", "src")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+
+
+def _plain_ids(text):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [packing.END]
+
+
+def test_word_ids_are_the_ids_of_the_whole_text(docs):
+    texts = [t for _, t in docs[::9]] + ODD
+    ids, count = packing.token_ids(pa.array(texts, pa.string()), WORDS)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [_plain_ids(t) for t in texts]
+
+
+def test_packing_keeps_every_id_once(table, docs):
+    rows = packing.pack(table, WORDS, with_ids=True).collect()
+    windows, texts, whole = {}, {}, dict(docs)
+    for r in rows:
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"] > 0
+        windows.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        texts.setdefault(r["doc_id"], []).append((r["start"], r["ids"], r["doc_tokens"]))
+    for pieces in windows.values():
+        end = 0
+        for offset, n in sorted(pieces):
+            assert offset == end
+            end += n
+        assert end <= 4096 and end & (end - 1) == 0
+    assert len(texts.pop(1)) >= 2  # it is there twice
+    assert sorted(texts.pop(None))[0][1] == _plain_ids("no id")
+    assert len(texts) == len(whole) - 1
+    for doc_id, pieces in texts.items():
+        ids = []
+        for start, piece, total in sorted(pieces):
+            assert start == len(ids) and total == sum(len(p[1]) for p in pieces)
+            ids += piece
+        assert doc_id % 7 or ids == _plain_ids(whole[doc_id])
+    steps = {}
+    for r in rows:
+        steps.setdefault(r["step_group"], set()).add(r["tier"])
+    assert all(len(t) == 1 for t in steps.values())
+    assert packing.pack(table.limit(0), WORDS).count() == 0
+
+
+def test_language_is_found_for_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) == 1000 and all(0 <= r["score"] <= 1 for r in got)
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+    out = [r["lang"] == r["lang_pred"] for r in got if r["held_out"]]
+    assert sum(out) / len(out) > 0.97
+
+
+def test_language_odd_rows(table, spark):
+    got = langid.identify(table).collect()
+    assert len(got) == table.count()
+    by = {r["doc_id"]: r for r in got}
+    n = max(i for i in by if i is not None)
+    assert [by[i]["lang_pred"] for i in range(n - len(ODD) + 1, n + 1)] == ["und"] * 3 + ["en"] * 2 + ["und", "en", "und", "en"]
+    assert by[None]["held_out"] is False
+    untaught = langid.identify(table.withColumn("lang", table["source"].substr(9, 2).try_cast("int").cast("string"))).collect()
+    assert {r["lang_pred"] for r in untaught} == {"und"}
+    assert langid.identify(table.limit(0)).count() == 0
+
+
+def test_scores_equal_a_plain_count(spark):
+    rows = [(0, "abab cd", "x"), (2, "cdcd dc", "y"), (3, "ab cd", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    model = langid.train(df)
+    grams = lambda t: [t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)]
+    score = []
+    for lang, text in (("x", "abab cd"), ("y", "cdcd dc")):
+        have, total = grams(text), langid.BUCKETS * langid.SMOOTHING + len(grams(text))
+        score.append(sum(np.log((have.count(g) + langid.SMOOTHING) / total) for g in grams("ab cd")))
+    want = 1 / (1 + np.exp(-abs(score[0] - score[1])))
+    got = langid.predict(df, model).where("doc_id = 3").first()
+    assert got["lang_pred"] == "xy"[int(score[1] > score[0])] and abs(got["score"] - want) < 1e-4
+
+
+def test_secrets_are_told_from_what_looks_like_them(spark):
+    rng = random.Random(99)
+    forest = secrets.train()
+    held = secrets.labelled_findings(seed=77, n=2000)
+    scores = forest.score(np.array([secrets.features(*r[:4]) for r in held]))
+    truth = np.array([r[4] for r in held])
+    assert ((scores >= 0.5) == truth).mean() > 0.95
+    key = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    texts = [f'of thertiti token = "{key}" erble', f"see commit {key} for the change", 'password = "your_password_here"', None, ""]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in secrets.scan(df, forest).collect()}
+    assert got[0]["clean_text"] == f'of thertiti token = "{secrets.MARK}" erble'
+    assert [got[i]["clean_text"] for i in range(1, 5)] == texts[1:]
+    out = {r["doc_id"]: r for r in secrets.summary(df).collect()}
+    assert out[0]["n_secrets"] == 1 and out[3]["n_candidates"] == 0
+    assert secrets.summary(df.limit(0)).count() == 0
+
+
+def test_planted_tokens_are_found_and_prose_is_left(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for r in secrets.scan(docs.select("doc_id", "text", "source")).collect():
+        assert r["clean_text"].count(secrets.MARK) == len(re.findall(r'token = "[0-9a-f]{40}"', r["text"])), r["doc_id"]
+
+
+def test_candidates_do_not_overlap():
+    text = 'api_key: "AKIA' + "Q" * 16 + '" x=AIza' + "b1" * 20 + " -----BEGIN RSA PRIVATE KEY-----\nMIIE\n-----END RSA PRIVATE KEY-----"
+    found = secrets.candidates(text)
+    assert [k for _, _, k in found] == ["aws_key", "google", "private_key"]
+    assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
+def _archive(spark):
+    rng = random.Random(2)
+    big = "".join(rng.choice("abcdé\r\n") for _ in range(300_000))
+    html = [big, big, big + "x", "y" * 1000, "y" * 1000, "z" * 999, "z" * 999, None, "", "WARC/1.1\r\n\r\n" * 200, "é" * 500, "é" * 500, big]
+    return [(i, f"http://h/{i} é", h) for i, h in enumerate(html)]
+
+
+def test_warc_round_trip(spark):
+    rows = _archive(spark)
+    df = spark.createDataFrame(rows + [(None, None, "q" * 2000), (3, "u", "y" * 1000)], "page_id long, url string, html string").repartition(3)
+    from posofold.llm.common import scratch
+
+    folder = scratch(spark, "test")
+    got = warc.chunks(warc.write(df, folder), folder).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r["chunk"]):
+        by.setdefault(r["page_id"], []).append(r)
+    for page_id, _, html in rows:
+        payload = (html or "").encode()
+        same = [i for i, _, h in rows if (h or "").encode() == payload]
+        revisit = len(payload) >= 1000 and page_id != max(same)
+        parts = by[page_id]
+        assert {p["record_type"] for p in parts} == {"revisit" if revisit else "response"}
+        assert {p["refers_to"] for p in parts} == {max(same) if revisit else None}
+        assert parts[-1]["digest"] == hashlib.sha1(payload).hexdigest() and parts[-1]["payload_bytes"] == len(payload)
+        if not revisit:
+            assert b"".join(p["bytes"] for p in parts) == payload
+            assert all(len(p["bytes"]) <= warc.CHUNK for p in parts) and [p["chunk"] for p in parts] == list(range(len(parts)))
+    assert len(by[0]) == 1 and len(by[12]) > 4 and len(by[3]) == 2
+    assert warc.records(df).count() == len(rows) + 2
+    assert warc.records(df.limit(0)).count() == 0
