@@ -38,18 +38,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", order_by: str | None = None) -> Iterator[pa.RecordBatch]:
-    """Cut batches into pieces of about STEP_BYTES of one text column, by whole rows."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", step: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches into pieces of about ``step`` bytes of one text column, by whole rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        if order_by:
-            batch = batch.take(pc.sort_indices(batch, sort_keys=[(order_by, "ascending")]))
         size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             before = size[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(size, before + STEP_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(size, before + step, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -18,8 +18,11 @@ repeat one are packed as any other.  Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,33 +35,84 @@ from posofold.llm.common import documents, slices, words
 
 TIERS = (512, 1024, 2048, 4096)
 END, STEP_TOKENS = 2, 32768
-_CACHE = 300_000
+_CACHE, _STEP_BYTES = 500_000, 12 << 20
 _tokenizers: dict = {}
 
 
+#: Words of these characters are lower-cased and cut into these pieces as the tokenizer would.
+_SIMPLE = re.compile(r"[!-&(-~À-ÖØ-öø-ÿß]+")
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+
+
 class _Vocabulary:
-    """Ids of words, with a bounded cache."""
+    """Ids of words.  Simple words are tokenised by pieces, which need no normalisation and of
+    which there are fewer; bounded caches of words and of pieces keep what is used."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.whole = Tokenizer.from_file(path)
+        self.special = [t.content.lower() for t in self.whole.get_added_tokens_decoder().values()]
+        with open(path) as file:
+            parts = json.load(file)
+        parts |= {"normalizer": None, "added_tokens": []}
+        parts["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        self.lean = Tokenizer.from_str(json.dumps(parts))
+        self.words, self.pieces = _Cache(self._words), _Cache(lambda new: self._encode(self.lean, new))
+
+    @staticmethod
+    def _encode(tokenizer, keys: list[str]) -> list[bytes]:
+        found = []
+        for start in range(0, len(keys), 5000):
+            got = tokenizer.encode_batch(keys[start : start + 5000], add_special_tokens=False)
+            found += [array("I", x.ids).tobytes() for x in got]
+        return found
+
+    def _words(self, new: list[str]) -> list[bytes]:
+        simple, find = _SIMPLE.fullmatch, _PIECE.findall
+        cut = [find(w.lower()) if simple(w) and not ("<" in w and any(x in w.lower() for x in self.special)) else None for w in new]
+        whole = iter(self._encode(self.whole, [w for w, c in zip(new, cut) if c is None]))
+        distinct = list({p for c in cut if c for p in c})
+        ids = dict(zip(distinct, self.pieces.get(distinct)))
+        return [next(whole) if c is None else ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c]) for c in cut]
 
     def ids(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the words one after another, and the number for each word."""
-        new = [w for w in values if w not in self.known]
-        if len(self.known) + len(new) > _CACHE:
-            self.known = {}
-            new = values
-        for start in range(0, len(new), 5000):
-            part = new[start : start + 5000]
-            for word, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, np.uint32).tobytes()
-        found = [self.known[w] for w in values]
+        """All ids of distinct words one after another, and the number for each word."""
+        found = self.words.get(values)
         return np.frombuffer(b"".join(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
 
+class _Cache:
+    """What was made for keys: a younger and an older part of bounded size."""
+
+    def __init__(self, make):
+        self.make, self.young, self.old = make, {}, {}
+
+    def get(self, keys: list[str]) -> list[bytes]:
+        """For distinct keys."""
+        if len(self.young) > _CACHE:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = [k for k in keys if k not in young]
+        new = []
+        for k in missing:
+            if k in old:
+                young[k] = old[k]
+            else:
+                new.append(k)
+        young.update(zip(new, self.make(new)))
+        return [young[k] for k in keys]
+
+
+def _gather(values: np.ndarray, count: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of values (count long each) named by which, one after another, and their bounds."""
+    first = np.cumsum(count) - count
+    n = count[which]
+    ends = np.concatenate(([0], np.cumsum(n)))
+    return values[np.repeat(first[which] - ends[:-1], n) + np.arange(ends[-1])], ends
+
+
 def _vocabulary(path: str) -> _Vocabulary:
     if path not in _tokenizers:
         _tokenizers[path] = _Vocabulary(path)
@@ -75,11 +129,8 @@ def token_ids(texts: pa.Array, path: str, end: int | None = END) -> tuple[np.nda
         ids, count = np.append(ids, np.uint32(end)), np.append(count, 1)
         which = np.insert(which, offsets[1:], len(count) - 1)
         offsets = offsets + np.arange(len(offsets))
-    first = np.cumsum(count) - count
-    n = count[which]
-    ends = np.concatenate(([0], np.cumsum(n)))
-    at = np.repeat(first[which] - ends[:-1], n) + np.arange(ends[-1])
-    return ids[at], np.diff(ends[offsets])
+    out, ends = _gather(ids, count, which)
+    return out, np.diff(ends[offsets])
 
 
 class _Tier:
@@ -147,7 +198,7 @@ def _packer(path: str, tiers: tuple[int, ...], with_ids: bool):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         streams = [_Tier(t) for t in tiers]
-        for batch in slices(batches):
+        for batch in slices(batches, step=_STEP_BYTES):
             ids, count = token_ids(batch.column("text"), path)
             first = np.cumsum(count) - count
             doc = np.array(batch.column("doc_id").to_pylist(), dtype=object)
