@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from posofold.llm import embed_join, exact_dedup, langid, ngram_join, packing, secrets, sp_dropout, substring, warc
+from posofold.llm import embed_join, exact_dedup, langid, line_dedup, ngram_join, packing, secrets, sp_dropout, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ _documents, _embeddings, _pages = _table("documents"), _table("embeddings"), _ta
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": lambda s, d: line_dedup.without_repeated_lines(_documents(s, d), with_text=False),
         "op2_sentencepiece_dropout": lambda s, d: sp_dropout.summary(_documents(s, d), f"{TOKENIZERS}/piece_bpe_32k.model"),
         "op3_secret_scan": lambda s, d: secrets.summary(_documents(s, d)),
         "op4_language_id": lambda s, d: langid.identify(_documents(s, d)),
