@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from posofold.llm import embed_join, exact_dedup, langid, line_dedup, ngram_join, packing, secrets, sp_dropout, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +33,83 @@ def queries() -> dict[str, Query]:
         "op7_packing": lambda s, d: packing.pack(_documents(s, d), f"{TOKENIZERS}/word_bpe_49k.json"),
         "op8_warc": lambda s, d: warc.records(_pages(s, d)),
         "op9_exact_dedup": lambda s, d: exact_dedup.exact_dedup(_documents(s, d)),
+        "pipeline": corpus_pipeline.run,
         "op10_embedding_near_dedup": lambda s, d: embed_join.near_vectors(_embeddings(s, d)),
     }
 
 
+_WORDS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
+_SPACE = r"[\x20\x09-\x0D]"
+
+
+def _components(nodes: str, links: str) -> str:
+    """CTEs for (id, component) from nodes (id) and links (a, b) in both directions."""
+    return (
+        f"reach(id, other) AS (SELECT id, id FROM {nodes} UNION SELECT r.id, l.b FROM reach r JOIN {links} l ON r.other = l.a), "
+        "component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"
+    )
+
+
+_EXACT = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(length(text), 0) AS n,
+         sha256(regexp_replace(coalesce(text, ''), '{_SPACE}', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       doc_id = first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS kept, text_sha256
+FROM t"""
+
+_SUBSTRING = rf"""
+WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+k AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS n FROM k),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 20)) AS p FROM r WHERE n > 1),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM x ANTI JOIN gone USING (doc_id, p) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+_JACCARD = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= 75 * (x.n + y.n - i)),
+nodes AS (SELECT doc_id AS id FROM documents), {_components("nodes", "links")}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents JOIN component ON id = doc_id LEFT JOIN n USING (doc_id)"""
+
+_WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= {warc.MIN_REVISIT} AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {warc.MIN_REVISIT} AND page_id < last THEN last END AS refers_to
+FROM q"""
+
+_VECTORS = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+nodes AS (SELECT vec_id AS id FROM embeddings), {_components("nodes", "links")},
+n AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON id = vec_id LEFT JOIN n ON a = vec_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others use models, tokenizers or hashes that SQL has not; brute force in the tests."""
+    return {
+        "op5_substring_dedup": _SUBSTRING,
+        "op6_ngram_jaccard_join": _JACCARD,
+        "op8_warc": _WARC,
+        "op9_exact_dedup": _EXACT,
+        "op10_embedding_near_dedup": _VECTORS,
+    }

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from posofold.llm.common import slices
 
-FINDINGS, MAX_FINDINGS, TREES, DEPTH, MARK = 6000, 20_000, 25, 9, "[SECRET]"
+FINDINGS, MAX_FINDINGS, TREES, DEPTH, THRESHOLD, MARK = 6000, 20_000, 25, 9, 0.5, "[SECRET]"
 _CONTEXT = 48
 _FORMATS = [
     ("aws_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
@@ -268,7 +268,7 @@ def redacted(text: str, found: list[tuple[int, int, str, float]], threshold: flo
 _FOUND = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("score", pa.float64())]))
 
 
-def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5) -> DataFrame:
+def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """The columns of docs, and findings (all candidates with scores) and clean_text.
 
     docs has text and source; extra columns must not be called findings or clean_text.
@@ -289,7 +289,7 @@ def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.5)
     return docs.mapInArrow(run, f"{kinds}, {found}, clean_text string")
 
 
-def summary(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+def summary(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each document: candidates, secrets, their spans and the digest of the clean text."""
     rows = docs.select(*(F.col(c).cast(k).alias(c) for c, k in (("doc_id", "long"), ("text", "string"), ("source", "string"))))
     secret = F.filter("findings", lambda f: f["score"] >= threshold)
