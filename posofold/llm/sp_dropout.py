@@ -33,7 +33,7 @@ from posofold.llm.common import documents, slices
 
 DROPOUT, VARIANTS, SEED = 0.1, 2, 1
 MARK = "▁"
-_CACHE, _SHORT = 400_000, 48
+_CACHE, _SHORT = 700_000, 48
 _SEGMENT = re.compile(r" +[^ ]*|[^ ]+")
 _M64 = (1 << 64) - 1
 _models: dict[str, Model] = {}
@@ -169,9 +169,21 @@ class Encoder:
         return b"".join(map(young.__getitem__, segments))
 
 
+_encoders: dict[tuple, Encoder] = {}
+
+
+def encoder_of(path: str, dropout: float = DROPOUT, seed: int = SEED) -> Encoder:
+    """One encoder for all tasks of a Python worker, so that its cache stays."""
+    key = (path, dropout, seed)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
+
+
 def _encoder(path: str, dropout: float, seed: int, variants: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, dropout, seed)
+        encoder = encoder_of(path, dropout, seed)
         for batch in slices(batches):
             ids = batch.column("doc_id").to_pylist()
             which = [0 if i is None else zlib.crc32(str(i).encode()) % variants for i in ids]
@@ -208,7 +220,7 @@ def summary(docs: DataFrame, path: str) -> DataFrame:
     """Encode and decode: doc_id, n_ids, ids_crc32, decoded_sha256 and whether that is the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in slices(batches):
             doc_ids, rows = batch.column("doc_id").to_pylist(), []
             for doc_id, text in zip(doc_ids, batch.column("text").to_pylist()):
