@@ -1,7 +1,8 @@
 """Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one occurrence for each group.
 
 Lines (between newlines) are normalised by words: lower case, without punctuation at the ends,
-digits as 0.  Equal normalised lines are one class.  The 64-bit SimHash of a line's words is cut
+digits as 0.  Equal normalised lines are one class.  The 64-bit SimHash of a line's distinct
+words (a word that fills a line must not decide it alone) is cut
 into BLOCKS blocks; hashes that differ in at most DISTANCE bits agree on BLOCKS - DISTANCE whole
 blocks, so classes meet on each choice of that many.  Two classes link when their hashes differ
 in at most DISTANCE bits and the edit similarity of the normalised lines, 1 - edits / longer
@@ -77,8 +78,15 @@ class _Lines:
                 n = self.words[part]
                 first = np.cumsum(n) - n
                 at = np.repeat(offsets[:-1][part] - first, n) + np.arange(n.sum())
-                bits = np.unpackbits(each[at].view(np.uint8).reshape(-1, 8), axis=1)
-                sums = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+                line, value = np.repeat(np.arange(len(part)), n), each[at]
+                order = np.lexsort((value, line))
+                line, value = line[order], value[order]
+                new = np.ones(len(line), bool)
+                new[1:] = (line[1:] != line[:-1]) | (value[1:] != value[:-1])
+                line, value = line[new], value[new]
+                n = np.bincount(line)
+                bits = np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1)
+                sums = np.add.reduceat(bits, np.cumsum(n) - n, axis=0, dtype=np.int32)
                 self.sim[part] = np.packbits(2 * sums > n[:, None], axis=1).view(np.uint64).ravel()
 
 

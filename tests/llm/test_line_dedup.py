@@ -29,7 +29,7 @@ def test_edits_equal_the_table():
 
 def _sim(words):
     votes = np.zeros(64)
-    for w in words:
+    for w in set(words):
         raw = xxhash.xxh3_64_intdigest(w)
         votes += [1 if raw >> (8 * (i // 8) + 7 - i % 8) & 1 else -1 for i in range(64)]
     return sum(1 << i for i in range(64) if votes[i] > 0)
