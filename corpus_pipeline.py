@@ -20,6 +20,8 @@ COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "stri
 TOKENIZER = os.path.join(os.environ.get("TOKENIZERS", "/opt/tokenizers"), "word_bpe_49k.json")
 #: Texts whose best language is no more likely than this are rejected, as are texts without letters.
 MIN_SCORE = 0.5
+#: Workers outlive a stage: the tokenizer leaves memory for the others.
+CACHE, STEP_BYTES = 120_000, 6 << 20
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -55,7 +57,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of token ids."""
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, cache=CACHE, step=STEP_BYTES)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -27,6 +27,7 @@ from posofold.llm.common import slices
 BUCKETS, ORDERS = 1 << 16, (1, 2, 3)
 MAX_TRAIN, MAX_LANGS, SMOOTHING = 4000, 256, 0.5
 UNKNOWN = "und"
+_STEP_BYTES = 2 << 20  # a step takes some fifty times as much memory
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 _letters: list[np.ndarray] = []
 
@@ -68,7 +69,7 @@ def _grams(codes: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts by language and bucket of one task."""
     counts: dict[str, np.ndarray] = {}
-    for batch in slices(batches):
+    for batch in slices(batches, step=_STEP_BYTES):
         codes, row, has = _characters(batch.column("text"))
         coded = batch.column("lang").dictionary_encode()
         which, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
@@ -116,7 +117,7 @@ def train(labelled: DataFrame) -> Model:
 def _scorer(model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        for batch in slices(batches):
+        for batch in slices(batches, step=_STEP_BYTES):
             codes, row, has = _characters(batch.column("text"))
             n = len(has)
             total = np.tile(m.prior, (n, 1)) if m.langs else np.zeros((n, 0))

@@ -35,7 +35,8 @@ from posofold.llm.common import documents, slices, words
 
 TIERS = (512, 1024, 2048, 4096)
 END, STEP_TOKENS = 2, 32768
-_CACHE, _STEP_BYTES = 500_000, 12 << 20
+#: Words and pieces whose ids a worker keeps, and bytes of text in a step: more is faster.
+CACHE, STEP_BYTES = 500_000, 12 << 20
 _tokenizers: dict = {}
 
 
@@ -48,7 +49,7 @@ class _Vocabulary:
     """Ids of words.  Simple words are tokenised by pieces, which need no normalisation and of
     which there are fewer; bounded caches of words and of pieces keep what is used."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -59,7 +60,7 @@ class _Vocabulary:
         parts |= {"normalizer": None, "added_tokens": []}
         parts["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
         self.lean = Tokenizer.from_str(json.dumps(parts))
-        self.words, self.pieces = _Cache(self._words), _Cache(lambda new: self._encode(self.lean, new))
+        self.words, self.pieces = _Cache(self._words, cache), _Cache(lambda new: self._encode(self.lean, new), cache)
 
     @staticmethod
     def _encode(tokenizer, keys: list[str]) -> list[bytes]:
@@ -86,12 +87,12 @@ class _Vocabulary:
 class _Cache:
     """What was made for keys: a younger and an older part of bounded size."""
 
-    def __init__(self, make):
-        self.make, self.young, self.old = make, {}, {}
+    def __init__(self, make, size: int):
+        self.make, self.size, self.young, self.old = make, size, {}, {}
 
     def get(self, keys: list[str]) -> list[bytes]:
         """For distinct keys."""
-        if len(self.young) > _CACHE:
+        if len(self.young) > self.size:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         missing = [k for k in keys if k not in young]
@@ -113,17 +114,19 @@ def _gather(values: np.ndarray, count: np.ndarray, which: np.ndarray) -> tuple[n
     return values[np.repeat(first[which] - ends[:-1], n) + np.arange(ends[-1])], ends
 
 
-def _vocabulary(path: str) -> _Vocabulary:
-    if path not in _tokenizers:
-        _tokenizers[path] = _Vocabulary(path)
-    return _tokenizers[path]
+def _vocabulary(path: str, cache: int) -> _Vocabulary:
+    """One for all tasks of a worker."""
+    if (path, cache) not in _tokenizers:
+        _tokenizers.clear()
+        _tokenizers[path, cache] = _Vocabulary(path, cache)
+    return _tokenizers[path, cache]
 
 
-def token_ids(texts: pa.Array, path: str, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
+def token_ids(texts: pa.Array, path: str, end: int | None = END, cache: int = CACHE) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and the number for each text."""
     flat, offsets = words(texts)
     coded = flat.dictionary_encode()
-    ids, count = _vocabulary(path).ids(coded.dictionary.to_pylist())
+    ids, count = _vocabulary(path, cache).ids(coded.dictionary.to_pylist())
     which = coded.indices.to_numpy().astype(np.int64)
     if end is not None:
         ids, count = np.append(ids, np.uint32(end)), np.append(count, 1)
@@ -179,7 +182,7 @@ _COLUMNS = (
 )
 
 
-def _packer(path: str, tiers: tuple[int, ...], with_ids: bool):
+def _packer(path: str, tiers: tuple[int, ...], with_ids: bool, cache: int, step: int):
     def rows(found, number: int, size: int) -> pa.RecordBatch:
         docs, start, length, total, window, offset, crc, ids, a, b = found
         base = TaskContext.get().partitionId() << 40
@@ -198,8 +201,8 @@ def _packer(path: str, tiers: tuple[int, ...], with_ids: bool):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         streams = [_Tier(t) for t in tiers]
-        for batch in slices(batches, step=_STEP_BYTES):
-            ids, count = token_ids(batch.column("text"), path)
+        for batch in slices(batches, step=step):
+            ids, count = token_ids(batch.column("text"), path, cache=cache)
             first = np.cumsum(count) - count
             doc = np.array(batch.column("doc_id").to_pylist(), dtype=object)
             route = np.minimum(np.searchsorted(tiers, count), len(tiers) - 1)
@@ -222,8 +225,10 @@ def _packer(path: str, tiers: tuple[int, ...], with_ids: bool):
     return pack
 
 
-def pack(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, with_ids: bool = False, cache: int = CACHE, step: int = STEP_BYTES
+) -> DataFrame:
     """Pieces of documents in windows; with_ids adds the ids of each piece."""
     if any(t & (t - 1) for t in tiers) or list(tiers) != sorted(set(tiers)) or STEP_TOKENS % tiers[-1]:
         raise ValueError("tiers are rising powers of two that divide a step")
-    return documents(docs).mapInArrow(_packer(path, tiers, with_ids), _COLUMNS + ", ids array<long>" * with_ids)
+    return documents(docs).mapInArrow(_packer(path, tiers, with_ids, cache, step), _COLUMNS + ", ids array<long>" * with_ids)
