@@ -13,7 +13,7 @@ KEY = "dosage_lower"
 def count_instructions(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Distinct raw instructions with their number of records, most frequent first."""
     counted = df.groupBy("dosage").agg(F.count(F.lit(1)).alias("dosage_count"))
-    return counted.orderBy(F.desc("dosage_count")) if ordered else counted
+    return counted.orderBy(F.desc("dosage_count"), "dosage") if ordered else counted
 
 
 def unite(real: DataFrame, test: DataFrame) -> DataFrame:
@@ -26,28 +26,28 @@ def regroup(normalised: DataFrame, ordered: bool = False) -> DataFrame:
     grouped = normalised.groupBy(KEY).agg(
         F.sum("dosage_count").alias("dosage_count"), F.count(F.lit(1)).alias("variants")
     )
-    return grouped.orderBy(F.desc("dosage_count")) if ordered else grouped
+    return grouped.orderBy(F.desc("dosage_count"), KEY) if ordered else grouped
 
 
-def select_frequent(df: DataFrame, min_count: int | None, spread_by: str = "dosage") -> DataFrame:
+def frequent_keys(grouped: DataFrame, min_count: int | None) -> DataFrame:
+    """Rows that reach ``min_count``, of a frame with one row per key."""
+    return grouped if min_count is None else grouped.where(F.col("dosage_count") >= min_count)
+
+
+def select_frequent(df: DataFrame, min_count: int | None) -> DataFrame:
     """All rows of the keys whose largest ``dosage_count`` reaches ``min_count``.
 
-    A window would gather all rows of a key in one task.  Here the qualifying keys are
-    found first; there are at most (all records / ``min_count``) of them, so they can be
-    copied to every salt and the rows of a hot key spread over all salts.
+    For frames with many rows per key.  A window would gather all rows of a key in one task;
+    here the keys are found first, and only the rows of the largest keys are spread.
     """
     if min_count is None:
         return df
-    frequent = F.col("dosage_count") >= min_count
-    if "variants" in df.columns:  # already one row per key
-        return df.where(frequent)
     # NULL is one key here, as it is when grouping
-    df = df.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(KEY)), F.lit("null")))
-    # a key qualifies as soon as one of its rows does
-    keys = df.where(frequent).select("_key").distinct()
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(keys, ["_key", "_salt"], "left_semi").drop("_key", "_salt")
+    keyed = df.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(KEY)), F.lit("null")))
+    keys = keyed.groupBy("_key").agg(F.max("dosage_count").alias("_most"), F.count(F.lit(1)).alias("_rows"))
+    keys = keys.where(F.col("_most") >= min_count)
+    hot = hot_keys(keys, "_key", "_rows")
+    return join_unique(keyed, keys.select("_key"), "_key", hot, ["dosage"]).select(*df.columns)
 
 
 def rejoin(
@@ -68,8 +68,8 @@ def rejoin(
 
 
 def curated_first(df: DataFrame) -> DataFrame:
-    """Curated rows first, then by frequency."""
-    return df.orderBy(F.col("is_test").desc_nulls_last(), F.desc("dosage_count"))
+    """Curated rows first, then by frequency; the text comes last, so that equal counts can be split."""
+    return df.orderBy(F.col("is_test").desc_nulls_last(), F.desc("dosage_count"), "dosage")
 
 
 def not_yet_assessed(counted: DataFrame, lookup: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def captured_summary(lookup: DataFrame, refined: DataFrame) -> DataFrame:
     return (
         joined.groupBy("e.element", "e.captured", "e.clean", "mapped")
         .agg(F.sum("dosage_count").alias("frequency"), F.min("fhir_json").alias("fhir_json_example"))
-        .orderBy("element", F.desc("frequency"))
+        .orderBy("element", F.desc("frequency"), "captured", "clean", "mapped")
     )
 
 
@@ -135,7 +135,7 @@ def tag_orders(refined: DataFrame) -> DataFrame:
             F.min("dosage").alias("example_dosage"),
             F.sum("dosage_count").alias("total_count"),
         )
-        .orderBy(F.desc("total_count"))
+        .orderBy(F.desc("total_count"), "dosage_elements")
     )
 
 
@@ -158,8 +158,8 @@ def pattern_usage(lookup: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("hits"), F.sum("dosage_count").alias("total_count"))
     )
     return (
-        F.broadcast(patterns(lookup.sparkSession))
-        .join(used, ["element", "pattern"], "left")
+        patterns(lookup.sparkSession)
+        .join(F.broadcast(used), ["element", "pattern"], "left")  # a row for each pattern at most
         .na.fill(0, ["hits", "total_count"])
         .orderBy("element", F.desc("total_count"), "pattern")
     )

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posofold import vocab
 from posofold.operators import corpus, reports
 from posofold.operators.assess import assess, with_array_fields
 from posofold.operators.enrich import refine
@@ -40,28 +39,44 @@ def prepare(records: DataFrame, curated: DataFrame) -> DataFrame:
 
 def model(
     united: DataFrame,
-    min_count: int | None = vocab.MIN_COUNT,
+    min_count: int | None,
     ordered: bool = True,
     keep_screening_reason: bool = True,
 ) -> DataFrame:
     """The lookup: every raw instruction with the assessment of its normalised text.
 
     The text is assessed once per distinct normalised form.  Keys below ``min_count``
-    drop out.  ``keep_screening_reason=False`` labels screened rows as empty.
+    drop out (None keeps all).  ``keep_screening_reason=False`` labels screened rows as empty.
     """
     normalised = normalise(united)
     grouped = corpus.regroup(normalised)
-    keys = corpus.select_frequent(grouped, min_count)
+    keys = corpus.frequent_keys(grouped, min_count)
     assessed = assess(keys, F.current_timestamp())
     joined = corpus.rejoin(normalised, assessed, grouped, keep_screening_reason)
     return corpus.curated_first(joined) if ordered else joined
 
 
+def batch(united: DataFrame, lookup: DataFrame, min_count: int | None, keep_screening_reason: bool = True) -> DataFrame:
+    """What a full refresh over ``united`` would have and the lookup lacks.
+
+    The cut-off holds for the counts of the whole corpus: a new spelling of a frequent key and
+    all spellings of a key that has become frequent are included.  Only keys with such rows are
+    assessed.  Counts of rows that the lookup has stay as they are until a full refresh.
+    """
+    normalised = normalise(united)
+    new = corpus.not_yet_assessed(normalised, lookup)
+    grouped = corpus.regroup(normalised)
+    met = new.select(F.col(corpus.KEY).alias("_met")).distinct()
+    wanted = corpus.frequent_keys(grouped, min_count).join(met, F.col(corpus.KEY).eqNullSafe(F.col("_met")), "left_semi")
+    assessed = assess(wanted, F.current_timestamp())
+    return corpus.rejoin(new, assessed, grouped, keep_screening_reason)
+
+
 def refined(lookup: DataFrame) -> DataFrame:
     return refine(lookup)
 
 
-def filtered(refined_lookup: DataFrame, min_count: int | None = vocab.MIN_COUNT) -> DataFrame:
+def filtered(refined_lookup: DataFrame, min_count: int | None) -> DataFrame:
     return corpus.filter_refined(refined_lookup, min_count)
 
 
@@ -95,18 +110,18 @@ def run_prepare(spark: SparkSession, at: Datasets) -> None:
     write(prepare(read(spark, at.records), read(spark, at.curated)), at.united)
 
 
-def run_model(spark: SparkSession, at: Datasets, min_count: int | None = vocab.MIN_COUNT) -> None:
+def run_model(spark: SparkSession, at: Datasets, min_count: int | None) -> None:
     """Full refresh: replaces the lookup."""
     write(model(read(spark, at.united), min_count), at.lookup)
 
 
-def run_batch(spark: SparkSession, at: Datasets, min_count: int | None = vocab.MIN_COUNT) -> None:
-    """Incremental: assesses the instructions that the lookup lacks and appends them."""
-    new = corpus.not_yet_assessed(read(spark, at.united), read(spark, at.lookup))
-    write(model(new, min_count, ordered=False), at.lookup, mode="append")
+def run_batch(spark: SparkSession, at: Datasets, min_count: int | None) -> None:
+    """Incremental: appends what a full refresh would have and the lookup lacks."""
+    new = batch(read(spark, at.united), read(spark, at.lookup), min_count)
+    write(new, at.lookup, mode="append")
 
 
-def run_refine(spark: SparkSession, at: Datasets, min_count: int | None = vocab.MIN_COUNT) -> None:
+def run_refine(spark: SparkSession, at: Datasets, min_count: int | None) -> None:
     write(refined(read(spark, at.lookup)), at.refined)
     write(filtered(read(spark, at.refined), min_count), at.filtered)
 

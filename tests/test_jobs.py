@@ -69,6 +69,18 @@ def test_batch_run_appends_only_what_is_new(spark, tmp_path):
     assert tables.read(spark, at.reports + "element_orders_mapped").count() == 2
 
 
+def test_batch_adds_what_a_full_refresh_has(spark):
+    kind = "dosage string, dosage_count long, is_test boolean"
+    first = [("take 1 tablet once a day", 20, False), ("1 capsule tds", 4, False)]
+    more = [("TAKE 1 tablet once a day", 7, False), ("1 CAPSULE tds", 6, False), ("1 spray nocte", 3, False)]
+    lookup = jobs.model(spark.createDataFrame(first, kind), 10)
+    added = jobs.batch(spark.createDataFrame(first + more, kind), lookup, 10)
+    full = jobs.model(spark.createDataFrame(first + more, kind), 10)
+    columns = ["dosage", "dosage_lower", "buckets", "exclude", "mapped"]
+    got = sorted(lookup.select(*columns).union(added.select(*columns)).collect())
+    assert got == sorted(full.select(*columns).collect()) and len(got) == 4
+
+
 def test_fhir_json(spark):
     df = refine(assess(spark.createDataFrame([('give 2.5ml "now" at 12 noon',), ("1 tablet for up to 2 weeks prn",)], "dosage string")))
     rows = {r["dosage"]: r for r in df.collect()}
