@@ -39,11 +39,13 @@ BLOCKS, DISTANCE, SIMILARITY, MIN_WORDS = 5, 3, 0.85, 5
 _DIGITS = str.maketrans("123456789", "000000000")
 _ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’…–—¿¡"
 _BITS = [(64 * i // BLOCKS, 64 * (i + 1) // BLOCKS) for i in range(BLOCKS)]
+LANE = 255
 _CHOICES = list(combinations(range(BLOCKS), BLOCKS - DISTANCE))
 
 
 def _normal(word: str) -> str:
-    return word.lower().strip(_ENDS).translate(_DIGITS)
+    word = word.lower()
+    return word if word.isalpha() else word.strip(_ENDS).translate(_DIGITS)
 
 
 def normalised(line: str) -> str:
@@ -51,7 +53,7 @@ def normalised(line: str) -> str:
 
 
 class _Lines:
-    """Keys, SimHashes and word counts of the lines of a batch, one after another."""
+    """Keys and word counts of the lines of a batch, one after another, and SimHashes of chosen ones."""
 
     def __init__(self, texts: pa.Array):
         split = pc.split_pattern(texts, "\n")
@@ -66,28 +68,40 @@ class _Lines:
         coded = flat.dictionary_encode()
         normal = [_normal(w) for w in coded.dictionary.to_pylist()]
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else 0 for w in normal), np.uint64, len(normal))
+        self.hashes, same = np.unique(hashes, return_inverse=True)
+        code = same[coded.indices.to_numpy()]
         each = hashes[coded.indices.to_numpy()]
         full = each != 0
-        each, offsets = each[full], np.concatenate(([0], np.cumsum(full)))[offsets]
-        self.words = np.diff(offsets)
-        self.key = Rolling(each).of(offsets[:-1], self.words)
-        self.sim = np.zeros(len(self.words), np.uint64)
-        some = np.flatnonzero(self.words >= MIN_WORDS)
-        for part in np.array_split(some, max(1, len(each) // 200_000)):
-            if len(part):
-                n = self.words[part]
-                first = np.cumsum(n) - n
-                at = np.repeat(offsets[:-1][part] - first, n) + np.arange(n.sum())
-                line, value = np.repeat(np.arange(len(part)), n), each[at]
-                order = np.lexsort((value, line))
-                line, value = line[order], value[order]
-                new = np.ones(len(line), bool)
-                new[1:] = (line[1:] != line[:-1]) | (value[1:] != value[:-1])
-                line, value = line[new], value[new]
-                n = np.bincount(line)
-                bits = np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1)
-                sums = np.add.reduceat(bits, np.cumsum(n) - n, axis=0, dtype=np.int32)
-                self.sim[part] = np.packbits(2 * sums > n[:, None], axis=1).view(np.uint64).ravel()
+        self.code, self.offsets = code[full], np.concatenate(([0], np.cumsum(full)))[offsets]
+        self.words = np.diff(self.offsets)
+        self.key = Rolling(each[full]).of(self.offsets[:-1], self.words)
+
+    def sims(self, lines: np.ndarray) -> np.ndarray:
+        """SimHashes of the lines with these indexes; each has a word."""
+        parts = np.array_split(lines, max(1, int(self.words[lines].sum()) // 400_000))
+        return np.concatenate([self._sims(part) for part in parts])
+
+    def _sims(self, lines: np.ndarray) -> np.ndarray:
+        n = self.words[lines]
+        if not len(n):
+            return np.zeros(0, np.uint64)
+        first = np.cumsum(n) - n
+        at = np.repeat(self.offsets[:-1][lines] - first, n) + np.arange(n.sum())
+        # distinct words of each line: one integer for line and word, sorted
+        pair = np.sort(np.repeat(np.arange(len(n)), n) * len(self.hashes) + self.code[at])
+        pair = pair[np.concatenate(([True], pair[1:] != pair[:-1]))]
+        line, code = np.divmod(pair, len(self.hashes))
+        n = np.bincount(line, minlength=len(n))
+        start = np.cumsum(n) - n
+        # 64 counters of a byte each hold the sums of up to LANE words, longer lines are cut
+        within = np.arange(len(line)) - start[line]
+        heads = np.flatnonzero(within % LANE == 0)
+        bits = np.unpackbits(self.hashes[code].view(np.uint8).reshape(-1, 8), axis=1).view(np.uint64)
+        sums = np.add.reduceat(bits, heads, axis=0).view(np.uint8)
+        pieces = -(-n // LANE)
+        if pieces.max() > 1:
+            sums = np.add.reduceat(sums, np.cumsum(pieces) - pieces, axis=0, dtype=np.int64)
+        return np.packbits(sums > (n // 2)[:, None], axis=1).view(np.uint64).ravel()
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +115,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = _first_of(x.key[at], x.key[at], doc, line)
         k = at[first]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x.key[k].view(np.int64)), pa.array(x.sim[k].view(np.int64)), pa.array(doc[first]),
+            [pa.array(x.key[k].view(np.int64)), pa.array(x.sims(k).view(np.int64)), pa.array(doc[first]),
              pa.array(line[first].astype(np.int32)), pa.nulls(len(k), pa.list_(pa.int32()))], names,
         )
         later = np.flatnonzero(~first)
