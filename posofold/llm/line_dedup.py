@@ -36,20 +36,21 @@ from posofold.llm.common import Rolling, components, documents, slices, stored,
 from posofold.llm.substring import _first_of, _unpacked, packed
 
 BLOCKS, DISTANCE, SIMILARITY, MIN_WORDS = 5, 3, 0.85, 5
-_DIGITS = str.maketrans("123456789", "000000000")
+_DIGITS = bytes.maketrans(b"123456789", b"000000000")
 _ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’…–—¿¡"
 _BITS = [(64 * i // BLOCKS, 64 * (i + 1) // BLOCKS) for i in range(BLOCKS)]
 LANE = 255
 _CHOICES = list(combinations(range(BLOCKS), BLOCKS - DISTANCE))
 
 
-def _normal(word: str) -> str:
-    word = word.lower()
-    return word if word.isalpha() else word.strip(_ENDS).translate(_DIGITS)
+def _normal(words: list[str]) -> list[str]:
+    """The words (without newlines) in lower case, digits as 0, without punctuation at the ends."""
+    joined = "\n".join(words).lower().encode().translate(_DIGITS).decode()
+    return [w.strip(_ENDS) for w in joined.split("\n")] if words else []
 
 
 def normalised(line: str) -> str:
-    return " ".join([w for w in map(_normal, line.split()) if w])
+    return " ".join([w for w in _normal(line.split()) if w])
 
 
 class _Lines:
@@ -66,7 +67,7 @@ class _Lines:
         self.counts = counts
         flat, offsets = words(self.text)
         coded = flat.dictionary_encode()
-        normal = [_normal(w) for w in coded.dictionary.to_pylist()]
+        normal = _normal(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else 0 for w in normal), np.uint64, len(normal))
         self.hashes, same = np.unique(hashes, return_inverse=True)
         code = same[coded.indices.to_numpy()]
@@ -140,15 +141,27 @@ def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.string())], ["line_key", "normal"])
 
 
+def _middles(a: str, b: str) -> tuple[str, str]:
+    """What is left of both without their common start and end."""
+    start = _shared(a, b, False)
+    a, b = a[start:], b[start:]
+    end = _shared(a, b, True)
+    return a[: len(a) - end], b[: len(b) - end]
+
+
+def _shared(a: str, b: str, from_end: bool) -> int:
+    """Length of the common start or end, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        n = (low + high + 1) // 2
+        same = a[len(a) - n :] == b[len(b) - n :] if from_end else a[:n] == b[:n]
+        low, high = (n, high) if same else (low, n - 1)
+    return low
+
+
 def edits(a: str, b: str) -> int:
     """Levenshtein distance, by bit-parallel columns."""
-    start = 0
-    while start < min(len(a), len(b)) and a[start] == b[start]:
-        start += 1
-    end = 0
-    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
-        end += 1
-    a, b = a[start : len(a) - end], b[start : len(b) - end]
+    a, b = _middles(a, b)
     if not a or not b:
         return len(a) + len(b)
     where: dict[str, int] = {}
@@ -166,13 +179,19 @@ def edits(a: str, b: str) -> int:
     return distance
 
 
+def similar(a: str, b: str) -> bool:
+    """Whether the edit similarity is at least SIMILARITY."""
+    longer = max(len(a), len(b))
+    if min(len(a), len(b)) < SIMILARITY * longer:
+        return False
+    a, b = _middles(a, b)
+    # no more edits than the longer middle has characters
+    return longer - max(len(a), len(b)) >= SIMILARITY * longer or longer - edits(a, b) >= SIMILARITY * longer
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
-        for a, b in zip(batch.column("normal_a").to_pylist(), batch.column("normal_b").to_pylist()):
-            longer = max(len(a), len(b))
-            possible = min(len(a), len(b)) >= SIMILARITY * longer
-            keep.append(possible and longer - edits(a, b) >= SIMILARITY * longer)
+        keep = list(map(similar, batch.column("normal_a").to_pylist(), batch.column("normal_b").to_pylist()))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
