@@ -39,16 +39,21 @@ RULES = {
 
 def configured_rules() -> list[tuple[str, str, str | None]]:
     """(field, rule, argument) in reporting order."""
-    exceed = dict(vocab.MUST_EXCEED)
-    out = []
-    for _, fields, rules in vocab.NUMERIC_RULES:
-        for name in fields.split():
-            for rule in rules.split():
-                rule, _, argument = rule.partition(":")
-                if not (rule == "avoid_zero" and name in vocab.ZERO_ALLOWED):
-                    out.append((name, rule, argument or None))
-            if name in exceed:
-                out.append((name, "must_be_greater_than", exceed[name]))
+    out: list[tuple[str, str, str | None]] = []
+    for name, limit in vocab.NUMBERS.items():
+        rules = {
+            "no_negatives": True,
+            "avoid_zero": not limit.zero,
+            "below": True,
+            "must_be_whole_num": limit.whole,
+            "avoid_emergency_numbers": limit.bare,
+            "avoid_years": limit.bare,
+            "avoid_times": limit.bare,
+            "only_halfs_and_quarters": limit.quarters,
+            "must_be_greater_than": limit.over is not None,
+        }
+        argument = {"below": str(limit.top), "must_be_greater_than": limit.over}
+        out += [(name, rule, argument.get(rule)) for rule, applies in rules.items() if applies]
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posofold import vocab
+from posofold.functions import phrases
 from posofold.functions.fence import fence
 from posofold.functions.text import first_hit_in, first_match, lookup, replace_first
 
@@ -19,11 +20,11 @@ PHRASES: dict[str, list[str]] = {
     "extras": vocab.EXTRAS,
     "extrasPAUSE": vocab.EXTRAS_PAUSE,
     "extrasALTER": vocab.EXTRAS_ALTER,
-    "asNeededCodeableConcept": vocab.INDICATION_PATTERNS,
+    "asNeededCodeableConcept": [phrases.indication()],
     "asNeededBoolean": vocab.AS_NEEDED,
-    "forElement": vocab.INDICATION_PATTERNS,
+    "forElement": [phrases.indication()],
     "route": [r[0] for r in vocab.ROUTES] + list(_ADVERB_TO_ROUTE),
-    "site": vocab.SITE_PATTERNS,
+    "site": [phrases.site()],
 }
 LEADING = {"extras_b": vocab.EXTRAS_NUMERIC}
 
@@ -31,9 +32,9 @@ _OTHER_AS_NEEDED = "|".join(re.escape(p) for p in vocab.AS_NEEDED if p != vocab.
 _ANY_AS_NEEDED = "|".join(re.escape(p) for p in vocab.AS_NEEDED)
 
 
-def element_pattern(element: str, phrases: list[str]) -> str:
+def element_pattern(element: str, words: list[str]) -> str:
     """Alternation that tries the longest pattern text first."""
-    pattern = "|".join(vocab.longest_first(phrases))
+    pattern = "|".join(vocab.longest_first(words))
     if element == "asNeededCodeableConcept":
         # any as-needed wording followed by any indication
         return f"(?:{_ANY_AS_NEEDED}) (?:{pattern})"
@@ -51,8 +52,8 @@ _HINT = {
 }
 
 
-def _read(df: DataFrame, element: str, phrases: list[str], text: str, out: str) -> DataFrame:
-    pattern = element_pattern(element, phrases)
+def _read(df: DataFrame, element: str, words: list[str], text: str, out: str) -> DataFrame:
+    pattern = element_pattern(element, words)
     found = first_match(F.col(text), pattern)
     hints = _HINT.get(element)
     if hints:
@@ -65,9 +66,9 @@ def _read(df: DataFrame, element: str, phrases: list[str], text: str, out: str)
 
 
 def _chain(df: DataFrame, groups: dict[str, list[str]], text: str) -> tuple[DataFrame, str]:
-    for element, phrases in groups.items():
+    for element, words in groups.items():
         out = f"_text_{element}"
-        df = _read(df, element, phrases, text, out)
+        df = _read(df, element, words, text, out)
         text = out
     return df, text
 
