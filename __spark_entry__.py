@@ -20,12 +20,12 @@ from posofold.operators import normalise as norm
 from posofold.operators.assess import assess, extract
 from posofold.operators.elements import BY_KEY, ELEMENTS, KEYS, REGEX_ELEMENTS
 from posofold.operators.enrich import refine
-from posofold.operators.extract import extract_elements
+from posofold.operators.extract import extract_element, extract_elements
 from posofold.operators.fhir import PARTS
 from posofold.operators.grammar import check_grammar
 from posofold.operators.regex_elements import read_leading
 from posofold.plans import jobs
-from posofold.sources import templates
+from posofold.sources import tables, templates
 from posofold.sources.templates import case_sql, fill, literal, slots_sql
 from posofold.sources.vocabulary import normalisation_rules
 
@@ -36,6 +36,7 @@ except ImportError:
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROW = ["dosage", "dosage_count"]
+ARRAYS = ("doseQuantity_quantity", "periodElement_period")  # fields shown in array form
 BATCH_CUT = 5  # cut-off that splits the generated corpus as 10000 splits a real one
 
 
@@ -52,10 +53,13 @@ def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.count_instructions(templates.wide_instructions(spark, sf_dir), ordered=False)
 
 
+def _plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm.normalise(_counted(spark, sf_dir)).withColumn("dosage_elements", F.col("dosage_lower"))
+
+
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token elements before anything is inferred from them."""
-    df = norm.normalise(_counted(spark, sf_dir)).withColumn("dosage_elements", F.col("dosage_lower"))
-    return extract_elements(read_leading(df))
+    return extract_elements(read_leading(_plain(spark, sf_dir)))
 
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +70,32 @@ def _assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(_counted(spark, sf_dir))
 
 
+def _run(spark: SparkSession, sf_dir: str, *steps: Callable) -> jobs.Datasets:
+    """Datasets of a run of jobs over the whole generated corpus, in the shared folder."""
+    jobs.configure(spark)
+    folder = tables.scratch(spark)
+    names = "records curated united lookup refined filtered reports"
+    at = jobs.Datasets(*[f"{folder}{n}/" for n in names.split()])
+    tables.write(templates.instructions(spark, sf_dir), at.records)
+    tables.write(spark.createDataFrame([], "dosage string"), at.curated)
+    jobs.run_prepare(spark, at)
+    for step in steps:
+        step(spark, at)
+    return at
+
+
+def _written_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = _run(spark, sf_dir, lambda s, at: jobs.run_model(s, at, BATCH_CUT))
+    return tables.read(spark, at.lookup)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """The frame as a dataset, as the jobs hand it over: what follows reads it several times."""
+    path = tables.scratch(df.sparkSession)
+    tables.write(df, path)
+    return tables.read(df.sparkSession, path)
+
+
 def _refined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine(_assessed(spark, sf_dir))
 
@@ -85,7 +115,7 @@ def _element(key: str) -> Query:
     names = ["clean", "captured", "pattern", *BY_KEY[key].fields]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = _tokens(spark, sf_dir).where(F.col(f"{key}_clean").isNotNull())
+        df = extract_element(read_leading(_plain(spark, sf_dir)), key).where(F.col(f"{key}_clean").isNotNull())
         return df.select(*ROW, *[F.col(f"{key}_{n}").alias(f"{key}_{n}") for n in names])
 
     return run
@@ -211,8 +241,14 @@ def queries() -> dict[str, Query]:
         "P5": lambda s, d: _lookup(s, d, BATCH_CUT).select(
             *ROW, "dosage_lower", "buckets", "exclude", "cross_column_fail", "mapped"
         ),
+        "P9": lambda s, d: _written_lookup(s, d).select(
+            *ROW, "is_test", "dosage_lower", "buckets", "exclude", "cross_column_fail", "mapped"
+        ),
+        "R13": lambda s, d: jobs.published(_assessed(s, d)).select(
+            *ROW, *[F.concat(F.lit("["), F.array_join(c, ","), F.lit("]")).alias(c) for c in ARRAYS]
+        ),
         "P6": lambda s, d: corpus.curated_first(corpus.unite(_counted(s, d), _wide(s, d))),
-        "P7": lambda s, d: jobs.filtered(jobs.refined(_lookup(s, d)), BATCH_CUT).select(*ROW, "dosage_lower", "buckets"),
+        "P7": lambda s, d: jobs.filtered(_written(jobs.refined(_lookup(s, d))), BATCH_CUT).select(*ROW, "dosage_lower", "buckets"),
         "P8": lambda s, d: corpus.not_yet_assessed(
             _counted(s, d), _counted(s, d).where(F.col("dosage_count") >= BATCH_CUT)
         ),
@@ -266,10 +302,10 @@ def queries() -> dict[str, Query]:
         "F1_F14": _fhir_parts,
         "F15": lambda s, d: _refined(s, d).where(F.col("mapped")).select(*ROW, *mapped_text),
         "F16": lambda s, d: _refined(s, d).where(F.col("mapped")).select(*ROW, "fhir_json_no_text"),
-        "A1": lambda s, d: (lambda a: reports.captured_summary(a, refine(a)))(_assessed(s, d)),
+        "A1": lambda s, d: reports.captured_summary(_assessed(s, d)),
         "A2": lambda s, d: reports.random_sample(_refined(s, d)).select(*ROW, "buckets"),
-        "A3": lambda s, d: reports.sample_by_frequency(_refined(s, d)).select(*ROW, "frequency_band", "buckets"),
-        "A4": lambda s, d: reports.sample_by_element(_refined(s, d)).select(*ROW, "sampled_element"),
+        "A3": lambda s, d: reports.sample_by_frequency(_written(_refined(s, d))).select(*ROW, "frequency_band", "buckets"),
+        "A4": lambda s, d: reports.sample_by_element(_written(_refined(s, d))).select(*ROW, "sampled_element"),
         "A5": lambda s, d: reports.tag_orders(_assessed(s, d)),
         "A6": lambda s, d: reports.pattern_usage(_tokens(s, d)).select("element", "pattern", "hits", "total_count"),
         "A7": lambda s, d: reports.vocabulary_usage(norm.normalise(_counted(s, d))),
@@ -569,6 +605,11 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * EXCLUDE (total) FROM (SELECT *, sum(dosage_count) OVER (PARTITION BY dosage_lower) AS total "
             f"FROM ({_truth(assessed)})) WHERE total >= {BATCH_CUT}"
         ),
+        "P9": (
+            f"SELECT * EXCLUDE (total), false AS is_test FROM (SELECT *, sum(dosage_count) OVER (PARTITION BY dosage_lower) "
+            f"AS total FROM ({_truth(assessed)})) WHERE total >= {BATCH_CUT}"
+        ),
+        "R13": _truth({c: f"coalesce('[' || {_final(c)} || ']', '[]')" for c in ARRAYS}),
         "P8_batch": (
             "SELECT dosage, dosage_count, dosage_lower, buckets, exclude, mapped FROM (SELECT *, sum(dosage_count) OVER "
             f"(PARTITION BY dosage_lower) AS total FROM ({_truth(assessed)})) WHERE total >= {BATCH_CUT}"

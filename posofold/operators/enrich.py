@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from posofold.functions import coding
 from posofold.functions.fence import fence
 from posofold.functions.text import filled, with_missing
-from posofold.operators.elements import ALL_COLUMNS, KEYS, REGEX_ELEMENTS
+from posofold.operators.elements import ALL_COLUMNS, BY_KEY, KEYS, REGEX_ELEMENTS
 from posofold.operators.fhir import add_dosage, with_text
 
 INPUT = [
@@ -26,11 +26,6 @@ INPUT = [
 ]
 
 
-def _first(*names: str) -> Column:
-    """Field of the first element that is present, be it empty there."""
-    return F.coalesce(*names) if len(names) > 1 else F.col(names[0])
-
-
 @cache
 def _dose() -> dict[str, Column]:
     """Dose value and unit, always both from the same element."""
@@ -67,37 +62,33 @@ def _dose() -> dict[str, Column]:
     }
 
 
-@cache
-def _merged() -> dict[str, Column]:
-    """Fields that several elements can supply, and renamed ones."""
-    return {
-        "doseXMilli_value": F.col("doseXMilliValueOnly_value"),
-        "doseXMilli_valMilli": F.col("doseXMilliValueOnly_val_milli"),
-        "doseXMilli_milli": F.col("doseXMilliValueOnly_milli"),
-        "milligram_value": _first("milligramValue_value", "milligramMax_value"),
-        "milligram_valueMax": F.col("milligramMax_valueMax"),
-        "milligram_units": _first("milligramValue_milligram_units", "milligramMax_milligram_units"),
-        "method_verb": _first("methodDirect_verb", "methodPassive_verb"),
-        "rateRatio_periodUnit": F.col("rateRatio_period_unit"),
-        "rateRange_unit": F.col("rateRange_special_unit"),
-        "rateQuantity_unit": F.col("rateQuantity_special_unit"),
-        "frequency_value": _first(
-            "frequencyBare_frequency", "frequencyWithMethod_frequency", "periodElement_frequency"
-        ),
-        "frequency_valueMax": _first("frequencyBare_frequencyMax", "frequencyWithMethod_frequencyMax"),
-        "frequency_periodUnit": _first("frequencyBare_period_unit", "frequencyWithMethod_period_unit"),
-        "period_value": F.col("periodElement_period"),
-        "period_valueMax": F.col("periodElement_periodMax"),
-        "period_units": F.col("periodElement_period_units"),
-        "duration_value": F.col("durationValue_value"),
-        "duration_valueMax": F.col("durationMax_value"),
-        "duration_units": _first("durationValue_period_units", "durationMax_period_units"),
-        "when_value": _first("whenBare_when", "whenWithMethod_when"),
-        "when_offset": _first("whenBare_offset", "whenWithMethod_offset"),
-        "when_periodUnit": _first("whenBare_period_unit", "whenWithMethod_period_unit"),
-        "boundsPeriod_start": _first("boundsPeriod_start", "boundsAPeriodStartEnd_start"),
-        "boundsPeriod_end": _first("boundsPeriod_end", "boundsAPeriodStartEnd_end"),
-    }
+# published column -> the element fields that can supply it, the first one present wins
+MERGED: dict[str, tuple[str, ...]] = {
+    "doseXMilli_value": ("doseXMilliValueOnly_value",),
+    "doseXMilli_valMilli": ("doseXMilliValueOnly_val_milli",),
+    "doseXMilli_milli": ("doseXMilliValueOnly_milli",),
+    "milligram_value": ("milligramValue_value", "milligramMax_value"),
+    "milligram_valueMax": ("milligramMax_valueMax",),
+    "milligram_units": ("milligramValue_milligram_units", "milligramMax_milligram_units"),
+    "method_verb": ("methodDirect_verb", "methodPassive_verb"),
+    "rateRatio_periodUnit": ("rateRatio_period_unit",),
+    "rateRange_unit": ("rateRange_special_unit",),
+    "rateQuantity_unit": ("rateQuantity_special_unit",),
+    "frequency_value": ("frequencyBare_frequency", "frequencyWithMethod_frequency", "periodElement_frequency"),
+    "frequency_valueMax": ("frequencyBare_frequencyMax", "frequencyWithMethod_frequencyMax"),
+    "frequency_periodUnit": ("frequencyBare_period_unit", "frequencyWithMethod_period_unit"),
+    "period_value": ("periodElement_period",),
+    "period_valueMax": ("periodElement_periodMax",),
+    "period_units": ("periodElement_period_units",),
+    "duration_value": ("durationValue_value",),
+    "duration_valueMax": ("durationMax_value",),
+    "duration_units": ("durationValue_period_units", "durationMax_period_units"),
+    "when_value": ("whenBare_when", "whenWithMethod_when"),
+    "when_offset": ("whenBare_offset", "whenWithMethod_offset"),
+    "when_periodUnit": ("whenBare_period_unit", "whenWithMethod_period_unit"),
+    "boundsPeriod_start": ("boundsPeriod_start", "boundsAPeriodStartEnd_start"),
+    "boundsPeriod_end": ("boundsPeriod_end", "boundsAPeriodStartEnd_end"),
+}
 
 
 # published unit column -> the column that it is taken from
@@ -192,13 +183,29 @@ OUTPUT: tuple[str, ...] = (
 )
 
 
-def refine(lookup: DataFrame) -> DataFrame:
-    """Consolidate, code and add the FHIR dosage; rows keep their partition."""
+def published_as(key: str) -> str | None:
+    """The published column that is filled when the element is present: the leading part of a
+    dose, a column that only this element supplies, or else the first one that it shares."""
+    dose = [c for c in _dose() if c.startswith(f"{key}_")]
+    fields = {f"{key}_{f}" for f in BY_KEY[key].fields}
+    supplied = {c: fields.intersection(MERGED.get(c, (c,))) for c in OUTPUT}
+    alone = [c for c, own in supplied.items() if own and fields.issuperset(MERGED.get(c, (c,)))]
+    return next(iter([*dose, *alone, *[c for c, own in supplied.items() if own]]), None)
+
+
+def refine(lookup: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
+    """Consolidate, code and add the FHIR dosage; rows keep their partition.
+
+    ``extra`` are further columns to compute from the lookup's own and to keep.
+    """
     df = with_missing(lookup, INPUT)
     df = with_missing(df, ["dosage_count"], "bigint")
     df = with_missing(df, ["mapped"], "boolean")
     # everything is computed from the source columns before any of them is replaced
-    new = {**_dose(), **_merged()}
+    df = df.withColumns(extra) if extra else df
+    # F.coalesce: a field of the first element that is present, be it empty there
+    merged = {name: F.coalesce(*fields) if len(fields) > 1 else F.col(fields[0]) for name, fields in MERGED.items()}
+    new = {**_dose(), **merged}
     df = df.withColumns({f"_new_{name}": column for name, column in new.items()})
     df = df.withColumns(_units())
     df = fence(add_dosage(df, "fhir_json_no_text"), "fhir_json_no_text")
@@ -207,4 +214,4 @@ def refine(lookup: DataFrame) -> DataFrame:
     df = df.withColumns(
         {**_codes(), "fhir_json_no_text": body, "fhir_json": F.when(body.isNotNull(), with_text(F.col("dosage"), body))}
     )
-    return df.select(*OUTPUT)
+    return df.select(*OUTPUT, *(extra or ()))

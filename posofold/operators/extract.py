@@ -120,9 +120,13 @@ def _methods(df: DataFrame, state: str) -> DataFrame:
 
 
 def claim_elements(
-    df: DataFrame, text: str, only: tuple[str, ...] | None = None
+    df: DataFrame, text: str, only: tuple[str, ...] | None = None, until: tuple[str, ...] | None = None
 ) -> tuple[DataFrame, str]:
-    """Add ``_hit_<element>`` (encoded match or '') ; returns also the tagged column."""
+    """Add ``_hit_<element>`` (encoded match or ''); returns also the tagged column.
+
+    ``only`` leaves out elements (and the rules between methods and others); ``until`` names
+    the elements to claim before stopping.
+    """
     df = df.select("*", encode(F.col(text)).alias("_tokens"))
     state, early = "_tokens", set()
     chosen = [e for e in ELEMENTS if only is None or e.key in only]
@@ -131,6 +135,8 @@ def claim_elements(
         state = "_after_methodPassive"
         early = {"doseQuantity", "frequencyWithMethod", "whenWithMethod"}
         chosen = [e for e in chosen if e.key not in ("methodDirect", "methodPassive")]
+    if until is not None:
+        chosen = [e for e in chosen if e.key in until]
     for element in chosen:
         df = _step(df, element, state, element.key in early)
         state = f"_after_{element.key}"
@@ -221,6 +227,21 @@ def read_fields(df: DataFrame, elements=ELEMENTS) -> DataFrame:
     return df.selectExpr("*", *cleans)
 
 
+def extract_element(df: DataFrame, key: str, text: str = "dosage_elements") -> DataFrame:
+    """The columns of one element, as ``extract_elements`` would find it.
+
+    Elements before it claim their tokens, but neither their fields nor later elements are
+    computed, and ``text`` stays as it is.
+    """
+    order = [e.key for e in ELEMENTS]
+    before = tuple(order[: max(order.index(key), order.index("methodPassive")) + 1])
+    kept = df.columns
+    df, _ = claim_elements(df, text, None, before)
+    df = read_fields(df.select(*kept, f"_hit_{key}"), (BY_KEY[key],))
+    new = [f"{key}_pattern", *element_columns(BY_KEY[key])]
+    return fence(df.select(*kept, *new), *new)
+
+
 def extract_elements(
     df: DataFrame, text: str = "dosage_elements", only: tuple[str, ...] | None = None
 ) -> DataFrame:

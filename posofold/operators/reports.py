@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from posofold.functions.stream import encode, norms_of, tokens_of
-from posofold.operators.elements import KEYS
-from posofold.sources.vocabulary import normalisation_rules, patterns, terms
+from posofold.operators.elements import ELEMENTS, KEYS
+from posofold.operators.enrich import published_as, refine
+from posofold.sources.vocabulary import normalisation_rules, patterns, term_rows, terms
 
 SAMPLE = 200
 SEED = 42
+PARTS = 64  # parts of a group that are ranked apart from each other first
 
 
 def draw(seed: int = SEED, *columns: str) -> Column:
@@ -34,26 +36,16 @@ def _element_rows(*parts: str) -> Column:
     return F.array_compact(F.array(*entries))
 
 
-def captured_summary(lookup: DataFrame, refined: DataFrame) -> DataFrame:
+def captured_summary(lookup: DataFrame) -> DataFrame:
     """Captured and clean wording per element with summed counts and one FHIR example.
 
-    Both sides are brought to one row per key before the join, so the join neither
-    multiplies counts nor meets a skewed key.
+    The example is a function of the same row: one pass and one aggregation that combines
+    before the shuffle, and no join.
     """
-    keyed = lookup.groupBy("dosage_lower").agg(
-        F.sum("dosage_count").alias("dosage_count"),
-        F.first(F.struct(_element_rows("captured", "clean").alias("found"), "mapped")).alias("row"),
-    )
-    example = (
-        refined.where(F.col("fhir_json").isNotNull())
-        .groupBy("dosage_lower")
-        .agg(F.min("fhir_json").alias("fhir_json"))
-    )
-    joined = keyed.join(example, "dosage_lower", "left").select(
-        F.explode("row.found").alias("e"), F.col("row.mapped").alias("mapped"), "dosage_count", "fhir_json"
-    )
+    found = refine(lookup, {"found": _element_rows("captured", "clean")})
+    rows = found.select(F.explode("found").alias("e"), "mapped", "dosage_count", "fhir_json")
     return (
-        joined.groupBy("e.element", "e.captured", "e.clean", "mapped")
+        rows.groupBy("e.element", "e.captured", "e.clean", "mapped")
         .agg(F.sum("dosage_count").alias("frequency"), F.min("fhir_json").alias("fhir_json_example"))
         .orderBy("element", F.desc("frequency"), "captured", "clean", "mapped")
     )
@@ -70,59 +62,52 @@ def frequency_band(count: Column) -> Column:
     )
 
 
-def _top_per_group(df: DataFrame, group: str, order: list, size: int) -> DataFrame:
-    """The first rows of each group.
+def _first_rows(df: DataFrame, groups: list[str], order: list, size: int) -> DataFrame:
+    window = Window.partitionBy(*groups).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= size).drop("_rank")
+
+
+def _top_per_group(df: DataFrame, groups: Column, name: str, size: int, seed: int) -> DataFrame:
+    """The first rows, in the order of the draw, of each of the fixed groups in the array
+    ``groups`` of a row; the column ``name`` holds the group.
 
-    ``row_number() <= size`` lets Spark keep only ``size`` rows per group and partition
-    before the shuffle, so a large group is never moved as a whole.
+    Texts and groups alone are ranked, within parts of each group first, so that no task and
+    no shuffle meets a whole group or a wide row.  The rows of the texts drawn, at most
+    ``size`` texts for each group, are then picked from the wide frame.
     """
-    window = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= size).drop("_rank")
+    order = [draw(seed, "dosage"), "dosage"]
+    keys = df.select("dosage", F.explode(groups).alias(name)).withColumn("_part", F.pmod(F.xxhash64("dosage"), F.lit(PARTS)))
+    drawn = _first_rows(_first_rows(keys, [name, "_part"], order, size), [name], order, size)
+    drawn = drawn.groupBy("dosage").agg(F.collect_set(name).alias("_drawn"))
+    rows = df.withColumn("_groups", groups).join(F.broadcast(drawn), "dosage")
+    rows = rows.withColumn(name, F.explode(F.array_intersect("_groups", "_drawn"))).drop("_groups", "_drawn")
+    # curated and real rows can share a text
+    return _first_rows(rows, [name], [*order, F.desc("dosage_count")], size).select(*df.columns, name)
 
 
 def sample_by_frequency(refined: DataFrame, size: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """Up to ``size`` mapped rows of each frequency band."""
-    mapped = refined.where(F.col("mapped")).withColumn("frequency_band", frequency_band(F.col("dosage_count")))
-    return _top_per_group(mapped, "frequency_band", [draw(seed, "dosage"), "dosage"], size)
-
-
-# refined column that tells whether an element is present; elements that share a column
-# are sampled once
-ELEMENT_COLUMN = {
-    "methodDirect": "method_verb",
-    "rateRatio": "rateRatio_periodUnit",
-    "rateRange": "rateRange_unit",
-    "rateQuantity": "rateQuantity_unit",
-    "durationValue": "duration_value",
-    "durationMax": "duration_valueMax",
-    "frequencyWithMethod": "frequency_value",
-    "timeOfDay": "timeOfDay_value",
-    "dayOfWeek": "dayOfWeek_value",
-    "maxDosePerPeriod": "maxDosePerPeriod_num_value",
-    "maxDosePerAdministration": "maxDosePerAdministration_value",
-    "maxDosePerLifetime": "maxDosePerLifetime_value",
-    "periodElement": "period_value",
-    "whenWithMethod": "when_value",
-    "boundsDuration": "boundsDuration_value",
-    "boundsPeriod": "boundsPeriod_start",
-    "event": "event_value",
-    "count": "count_count",
-    "doseRange": "doseRange_low",
-    "doseQuantity": "doseQuantity_value",
-    "doseXMilliValueOnly": "doseXMilli_value",
-    "milligramMax": "milligram_valueMax",
-    "milligramValue": "milligram_value",
-}
+    band = F.array(frequency_band(F.col("dosage_count")))
+    return _top_per_group(refined.where(F.col("mapped")), band, "frequency_band", size, seed)
+
+
+def element_columns() -> dict[str, str]:
+    """Refined column that tells whether an element is present; elements that share one are
+    sampled once, under the name of the first."""
+    by_column: dict[str, str] = {}
+    for element in ELEMENTS:
+        if column := published_as(element.key):
+            by_column.setdefault(column, element.key)
+    return {element: column for column, element in by_column.items()}
 
 
 def sample_by_element(refined: DataFrame, size: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """An equal share of mapped rows for each element, with the element's name."""
     share = max(1, size // len(KEYS))
     present = F.array_compact(
-        F.array(*[F.when(F.col(c).isNotNull(), F.lit(e)) for e, c in ELEMENT_COLUMN.items()])
+        F.array(*[F.when(F.col(c).isNotNull(), F.lit(e)) for e, c in element_columns().items()])
     )
-    rows = refined.where(F.col("mapped")).withColumn("sampled_element", F.explode(present))
-    return _top_per_group(rows, "sampled_element", [draw(seed, "dosage"), "dosage"], share)
+    return _top_per_group(refined.where(F.col("mapped")), present, "sampled_element", share, seed)
 
 
 def tag_orders(refined: DataFrame) -> DataFrame:
@@ -169,10 +154,12 @@ def vocabulary_usage(corpus: DataFrame, text: str = "dosage_lower", weight: str
     """How often each vocabulary term occurs in the texts, including unused terms.
 
     All word sequences of the lengths that occur in the vocabulary are looked up, in the
-    spelling of the text and in base form.
+    spelling of the text and in base form; only those that are terms become rows.
     """
     table = terms(corpus.sparkSession).select("list", "term")
-    lengths = sorted({len(t.split()) for _, t in table.collect()})  # fixed vocabulary
+    known: dict[int, list[str]] = {}
+    for term in sorted({row[1] for row in term_rows()}):
+        known.setdefault(len(term.split()), []).append(term)
     forms = corpus.select(F.col(weight).alias("_weight"), encode(F.col(text)).alias("_enc")).select(
         "_weight", tokens_of(F.col("_enc")).alias("_words"), norms_of(F.col("_enc")).alias("_bases")
     )
@@ -182,17 +169,14 @@ def vocabulary_usage(corpus: DataFrame, text: str = "dosage_lower", weight: str
         starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.array_join(F.slice(F.col(words), i, n), " "))
 
-    spelled = F.concat(*[sequences("_words", n) for n in lengths])
-    based = F.concat(*[sequences("_bases", n) for n in lengths])
-    # a sequence counts once where both spellings agree
-    both = F.concat(
-        spelled,
-        F.flatten(F.transform(F.arrays_zip(spelled.alias("a"), based.alias("b")), lambda p: F.when(
-            p["a"] != p["b"], F.array(p["b"])).otherwise(F.array().cast("array<string>")))),
-    )
+    def hits(n: int) -> Column:
+        spelled, based = sequences("_words", n), sequences("_bases", n)
+        # a sequence counts once where both spellings agree
+        changed = F.filter(F.zip_with(based, spelled, lambda b, w: F.when(b != w, b)), lambda b: b.isin(known[n]))
+        return F.concat(F.filter(spelled, lambda w: w.isin(known[n])), changed)
+
     found = (
-        forms.select("_weight", F.explode(both).alias("term"))
-        .join(F.broadcast(table.select("term").distinct()), "term")
+        forms.select("_weight", F.explode(F.concat(*[hits(n) for n in known])).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("occurrences"), F.sum("_weight").alias("total_count"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,21 +16,39 @@ from posofold.operators.normalise import normalise
 from posofold.sources.tables import read, write
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Session settings for the long projections of the assessment.
+def _settings(partition: str) -> dict[str, str]:
+    return {
+        "spark.sql.codegen.maxFields": "20",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": partition,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
+    }
+
+
+def configure(spark: SparkSession, partition: str = "8m") -> SparkSession:
+    """Session settings for the long projections of the assessment, for the rest of the session.
 
     Fusing all of them into one generated method would exceed what the JVM compiles, so
     wide projections are generated one by one.  The extraction costs much time per byte,
     so partitions behind a shuffle are kept smaller than the default.
     """
-    spark.conf.set("spark.sql.codegen.maxFields", "20")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
+    for name, value in _settings(partition).items():
+        spark.conf.set(name, value)
     return spark
 
 
+@contextmanager
+def configured(spark: SparkSession, partition: str = "8m") -> Iterator[SparkSession]:
+    """The same settings for one job; afterwards the session has its own again."""
+    before = {name: spark.conf.get(name, None) for name in _settings(partition)}
+    try:
+        yield configure(spark, partition)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def prepare(records: DataFrame, curated: DataFrame) -> DataFrame:
     """Raw records and curated instructions to the united corpus."""
     counted = corpus.count_instructions(records, ordered=False)
@@ -48,7 +68,16 @@ def model(
     The text is assessed once per distinct normalised form.  Keys below ``min_count``
     drop out (None keeps all).  ``keep_screening_reason=False`` labels screened rows as empty.
     """
-    normalised = normalise(united)
+    return model_normalised(normalise(united), min_count, ordered, keep_screening_reason)
+
+
+def model_normalised(
+    normalised: DataFrame,
+    min_count: int | None,
+    ordered: bool = True,
+    keep_screening_reason: bool = True,
+) -> DataFrame:
+    """The same from normalised texts, which are read several times: best a written dataset."""
     grouped = corpus.regroup(normalised)
     keys = corpus.frequent_keys(grouped, min_count)
     assessed = assess(keys, F.current_timestamp())
@@ -63,7 +92,13 @@ def batch(united: DataFrame, lookup: DataFrame, min_count: int | None, keep_scre
     all spellings of a key that has become frequent are included.  Only keys with such rows are
     assessed.  Counts of rows that the lookup has stay as they are until a full refresh.
     """
-    normalised = normalise(united)
+    return batch_normalised(normalise(united), lookup, min_count, keep_screening_reason)
+
+
+def batch_normalised(
+    normalised: DataFrame, lookup: DataFrame, min_count: int | None, keep_screening_reason: bool = True
+) -> DataFrame:
+    """The same from normalised texts, which are read several times: best a written dataset."""
     new = corpus.not_yet_assessed(normalised, lookup)
     grouped = corpus.regroup(normalised)
     met = new.select(F.col(corpus.KEY).alias("_met")).distinct()
@@ -82,7 +117,7 @@ def filtered(refined_lookup: DataFrame, min_count: int | None) -> DataFrame:
 
 def all_reports(lookup: DataFrame, refined_lookup: DataFrame) -> dict[str, DataFrame]:
     return {
-        "captured_clean_summary": reports.captured_summary(lookup, refined_lookup),
+        "captured_clean_summary": reports.captured_summary(lookup),
         "random_sample": reports.random_sample(refined_lookup),
         "stratified_by_frequency": reports.sample_by_frequency(refined_lookup),
         "stratified_by_elements": reports.sample_by_element(refined_lookup),
@@ -105,31 +140,47 @@ class Datasets:
     filtered: str
     reports: str  # prefix of the eight report datasets
 
+    @property
+    def normalised(self) -> str:
+        """Work dataset of the model and batch jobs, next to the united one."""
+        return self.united.rstrip("/") + "_normalised" + "/" * self.united.endswith("/")
+
+
+def _normalised(spark: SparkSession, at: Datasets) -> DataFrame:
+    """The united corpus, normalised once and written: the jobs read it several times."""
+    write(normalise(read(spark, at.united)), at.normalised)
+    return read(spark, at.normalised)
+
 
 def run_prepare(spark: SparkSession, at: Datasets) -> None:
-    write(prepare(read(spark, at.records), read(spark, at.curated)), at.united)
+    with configured(spark):
+        write(prepare(read(spark, at.records), read(spark, at.curated)), at.united)
 
 
 def run_model(spark: SparkSession, at: Datasets, min_count: int | None) -> None:
     """Full refresh: replaces the lookup."""
-    write(model(read(spark, at.united), min_count), at.lookup)
+    with configured(spark):
+        write(model_normalised(_normalised(spark, at), min_count), at.lookup)
 
 
 def run_batch(spark: SparkSession, at: Datasets, min_count: int | None) -> None:
     """Incremental: appends what a full refresh would have and the lookup lacks."""
-    new = batch(read(spark, at.united), read(spark, at.lookup), min_count)
-    write(new, at.lookup, mode="append")
+    with configured(spark):
+        new = batch_normalised(_normalised(spark, at), read(spark, at.lookup), min_count)
+        write(new, at.lookup, mode="append")
 
 
 def run_refine(spark: SparkSession, at: Datasets, min_count: int | None) -> None:
-    write(refined(read(spark, at.lookup)), at.refined)
-    write(filtered(read(spark, at.refined), min_count), at.filtered)
+    with configured(spark):
+        write(refined(read(spark, at.lookup)), at.refined)
+        write(filtered(read(spark, at.refined), min_count), at.filtered)
 
 
 def run_reports(spark: SparkSession, at: Datasets) -> None:
     """Reads what the earlier jobs wrote, so no report recomputes the extraction."""
-    for name, report in all_reports(read(spark, at.lookup), read(spark, at.refined)).items():
-        write(report, at.reports + name)
+    with configured(spark):
+        for name, report in all_reports(read(spark, at.lookup), read(spark, at.refined)).items():
+            write(report, at.reports + name)
 
 
 def published(lookup: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -14,6 +17,12 @@ def read(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if _is_path(name) else spark.read.table(name)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="jobs-")
+    return f"{base.rstrip('/')}/jobs-{uuid.uuid4().hex}/"
+
+
 def write(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     """Write a dataset; ``append`` adds a batch, ``overwrite`` replaces everything."""
     writer = df.write.mode(mode)
