@@ -180,10 +180,11 @@ def _p4(spark, sf_dir):
 
 def _p8_batch(spark, sf_dir):
     """A lookup of half of the spellings, extended to all of them."""
-    united = _counted(spark, sf_dir).withColumn("is_test", F.lit(False))
-    lookup = jobs.model(united.where(F.crc32("dosage") % 2 == 0), BATCH_CUT, ordered=False)
+    normalised = _written(norm.normalise(_counted(spark, sf_dir).withColumn("is_test", F.lit(False))))
+    half = normalised.where(F.crc32("dosage") % 2 == 0)
     columns = [*ROW, "dosage_lower", "buckets", "exclude", "mapped"]
-    return lookup.select(*columns).union(jobs.batch(united, lookup, BATCH_CUT).select(*columns))
+    lookup = _written(jobs.model_normalised(half, BATCH_CUT, ordered=False).select(*columns))
+    return lookup.union(jobs.batch_normalised(normalised, lookup, BATCH_CUT).select(*columns))
 
 
 def _t1(spark, sf_dir):
