@@ -5,9 +5,11 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from posofold.functions import skew
 from posofold.operators import corpus, reports
 from posofold.operators.assess import assess
 from posofold.operators.enrich import OUTPUT, refine
+from posofold.operators.extract import extract_element, extract_elements
 from posofold.operators.normalise import normalise
 from posofold.plans import jobs
 from posofold.sources import tables, templates
@@ -34,7 +36,8 @@ def test_model_matches_a_plain_join(spark):
     assert lost["oneone"] == "general_fail: too empty"
 
 
-def test_select_frequent_on_a_hot_key(spark):
+def test_select_frequent_on_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SALT_ROWS", 30)  # seven salts for the hot key
     rows = [(f"t{i}", "hot" if i % 3 else f"k{i}", i) for i in range(300)] + [("n1", None, 400), ("n2", None, 1)]
     df = spark.createDataFrame(rows, "dosage string, dosage_lower string, dosage_count long")
     top = {}
@@ -134,6 +137,31 @@ def test_samples_do_not_depend_on_partitions(spark):
     assert bands == {"1-10": 12, "11-100": 12, "101-1000": 12, "1000+": 12}
 
 
+def test_samples_pick_the_rows_of_their_group(spark):
+    rows = [("a", 1, True, 0), ("a", 5000, True, 1), ("b", 7, True, 2), ("c", 7, False, 3)]
+    df = spark.createDataFrame(rows, "dosage string, dosage_count long, mapped boolean, n int")
+    got = sorted((r["frequency_band"], r["n"]) for r in reports.sample_by_frequency(df, 5).collect())
+    assert got == [("1-10", 0), ("1-10", 2), ("1000+", 1)]
+
+
+def test_one_element_as_all_of_them(spark):
+    df = spark.createDataFrame([("2 sprays to be taken 3 times a day for 5 days",), ("take 1 tablet",), ("",), (None,)], "t string")
+    whole = extract_elements(df.withColumn("at", F.col("t")), "at")
+    for key in ("methodPassive", "doseQuantity", "boundsDuration"):
+        columns = ["t", f"{key}_clean", f"{key}_captured", f"{key}_pattern"]
+        one = extract_element(df.withColumn("at", F.col("t")), key, "at")
+        assert sorted(one.select(*columns).collect(), key=str) == sorted(whole.select(*columns).collect(), key=str)
+        assert sorted(one.columns) == sorted(c for c in whole.columns if c in ("t", "at") or c.startswith(f"{key}_"))
+
+
+def test_job_settings_end_with_the_job(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    with jobs.configured(spark, "3m"):
+        assert spark.conf.get(name) == "3m"
+    assert spark.conf.get(name) == before
+
+
 def test_templates_fill_in_both_engines():
     assert templates.fill("a <A> b") == "'a ' || A || ' b'"
     assert len(templates.blocks()) == 96
