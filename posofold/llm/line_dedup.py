@@ -14,8 +14,8 @@ not compared again, so near copies of one line cost a check each and not one for
 A task settles repeats of a class within a slice by itself: a line in a third of all documents
 is a row for each slice.
 
-Defined results: lines of fewer than MIN_WORDS words (also blank ones) are kept and match
-nothing.  Null and empty texts have no lines to remove.  Rows without doc_id keep all lines.
+Defined results: lines without a word (blank ones, or punctuation alone) are kept and match
+nothing; all others count, however short.  Null and empty texts have no lines to remove.  Rows without doc_id keep all lines.
 Rows that repeat a doc_id and text exactly get the same result each.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from posofold.llm.common import Rolling, components, documents, slices, stored, words
 from posofold.llm.substring import _first_of, _unpacked, packed
 
-BLOCKS, DISTANCE, SIMILARITY, MIN_WORDS = 5, 3, 0.85, 5
+BLOCKS, DISTANCE, SIMILARITY, MIN_WORDS = 5, 3, 0.85, 1
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
 _ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’…–—¿¡"
 _BITS = [(64 * i // BLOCKS, 64 * (i + 1) // BLOCKS) for i in range(BLOCKS)]

@@ -89,3 +89,21 @@ def test_odd_rows(spark):
     got = sorted((r["doc_id"] or -1, r["n_lines"], r["n_removed"], r["kept_text"]) for r in ld.without_repeated_lines(df).collect())
     assert got == [(-1, 0, 0, ""), (-1, 1, 0, line), (1, 1, 0, line), (1, 1, 0, line), (2, 3, 2, "x"), (3, 1, 0, "")]
     assert ld.without_repeated_lines(df.limit(0)).count() == 0
+
+
+def test_short_lines_and_lines_without_spaces_are_settled(spark):
+    rng = random.Random(6)
+    pool = ["Home", "Read more", "read  MORE!", "About us |", "All 12 items", "All 34 items", "日本語の行です", "ข้อความ", "one two three four", "---", "", "  "]
+    docs = [(i, "\n".join([*rng.choices(pool, k=6), hashlib.sha256(bytes([i])).hexdigest()])) for i in range(40)]
+    seen, want = set(), {}
+    for doc_id, text in docs:
+        kept = []
+        for line in text.split("\n"):
+            words = [w.strip("|!-") for w in "".join("0" if c.isdigit() else c for c in line.lower()).split()]
+            key = " ".join(w for w in words if w)
+            if not key or key not in seen:
+                kept.append(line)
+            seen.add(key)
+        want[doc_id] = "\n".join(kept)
+    got = ld.without_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["kept_text"] for r in got} == want
