@@ -9,7 +9,9 @@ which at most MAX_FINDINGS are used, can take its place.  The trees, of bounded
 broadcast; texts are scanned whole, in one pass without a shuffle.
 
 Defined results: null and empty texts have no candidates and stay as they are; a null path is
-empty.  Overlapping candidates are one.  Rows that repeat are scanned each.
+empty.  A quoted value reaches to its closing quote, a private key to its END marker or, without
+one, over its armour; neither has a longest length.  Overlapping candidates are one.  Rows that repeat are
+scanned each.
 """
 
 from __future__ import annotations
@@ -29,6 +31,14 @@ from posofold.llm.common import slices
 
 FINDINGS, MAX_FINDINGS, TREES, DEPTH, THRESHOLD, MARK = 6000, 20_000, 25, 9, 0.5, "[SECRET]"
 _CONTEXT = 48
+_BEGIN, _END = (rf"-{{4,5}} ?{x} [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)? ?-{{4,5}}" for x in ("BEGIN", "END"))
+# line breaks, also escaped, and what quotes, joins or indents the lines of a key in code
+_LAYOUT = r"[\s\"'`,.>#*|%&;+]++|\\++[nrt]?"
+_HEADER = r"[A-Z][A-Za-z0-9-]*+:(?:(?!-----)[^\n\\])*+"
+_ARMOUR = rf"(?:{_LAYOUT}|{_HEADER}|[A-Za-z0-9+/=]++)*+"
+# without an end marker: headers, lines of base64 and a last, shorter one
+_TAIL = rf"(?:{_LAYOUT})++[A-Za-z0-9+/]{{2,}}+={{1,2}}|(?:\s|\\++[nr])++[A-Za-z0-9+/]++(?=[\n\r\\\"'`]|$)"
+_OPEN_BODY = rf"(?:(?:{_LAYOUT})*+(?:{_HEADER}|[A-Za-z0-9+/=]{{16,}}+))*+(?:{_TAIL})?"
 _FORMATS = [
     ("aws_key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
     ("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}\b"),
@@ -36,11 +46,15 @@ _FORMATS = [
     ("google", r"\bAIza[0-9A-Za-z_-]{35}"),
     ("stripe", r"\b[srp]k_(?:live|test)_[0-9a-zA-Z]{16,}"),
     ("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,8000}(?:-----END [A-Z ]*PRIVATE KEY-----)?"),
+    ("private_key", rf"{_BEGIN}(?:{_ARMOUR}{_END}|{_OPEN_BODY})"),
 ]
-_STARTS = ("AKIA", "ASIA", "gh", "xox", "AIza", "k_live_", "k_test_", "eyJ", "-----BEGIN")
+_STARTS = ("AKIA", "ASIA", "gh", "xox", "AIza", "k_live_", "k_test_", "eyJ", "---BEGIN", "--- BEGIN")
 _KNOWN = re.compile("|".join(f"(?P<{n}>{p})" for n, p in _FORMATS))
-_VALUE = re.compile(r"""[=:]\s{0,3}["'`]?([^\s"'`,;<>(){}\[\]]{8,200})""")
+# a quoted value ends at its closing quote, any other (or one that isn't closed on its line) at a delimiter
+_VALUE = re.compile(
+    r"""[=:]\s{0,3}(?:(["'`])((?:(?!\1)[^\n\\]|\\.){8,}+)\1|\\+(["'`])((?:(?!\\*\3)[^\n]){8,}+)\\+\3"""
+    r"""|\\*["'`]{0,3}([^\s"'`,;<>(){}\[\]]{8,}+))"""
+)
 _NAME = re.compile(r"(?i)(?:api|access|secret|private|auth|client|encryption)?[_\- ]?(?:key|secret|token|passw(?:or)?d|passwd|pwd|credentials?)\W{0,3}$")
 _LONG = re.compile(r"[A-Za-z0-9_+/-]{20,}={0,2}")
 _KEY_WORDS = ("key", "secret", "token", "password", "passwd", "pwd", "credential", "auth", "bearer", "api")
@@ -89,7 +103,7 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
         found = [(m.start(), m.end(), m.lastgroup) for m in _KNOWN.finditer(text)]
     for m in _VALUE.finditer(text):
         if _NAME.search(text, max(0, m.start() - _CONTEXT), m.start()):
-            found.append((m.start(1), m.end(1), "assigned"))
+            found.append((*m.span(m.lastindex), "assigned"))
     for m in _LONG.finditer(text):
         token = m.group()
         if any(c.isdigit() for c in token) and any(c.isalpha() for c in token):
@@ -160,7 +174,7 @@ def labelled_findings(seed: int = 5, n: int = FINDINGS) -> list[tuple[str, str,
             lambda: draw(mixed + "_-", 22, 32, 43), lambda: "ghp_" + draw(mixed, 36), lambda: "AKIA" + draw(mixed[:26] + "0123456789", 16),
             lambda: "sk_live_" + draw(mixed, 24), lambda: "xoxb-" + draw("0123456789", 11) + "-" + draw(mixed, 24),
             lambda: "AIza" + draw(mixed + "_-", 35), lambda: ".".join(["eyJ" + draw(mixed, 17), "eyJ" + draw(mixed, 40), draw(mixed, 43)]),
-            lambda: draw(mixed + "!@#$%^&*", 10, 12, 16),
+            lambda: draw(mixed + "!@#$%^&*", 10, 12, 16), lambda: draw(mixed + "!@#$%^&*+/", 100, 200, 400, 1000),
         ])()
         known = bool(_KNOWN.match(token))
         if rng.random() < 0.45:  # a secret where secrets are kept, or of a known format anywhere
