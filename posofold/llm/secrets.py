@@ -1,6 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are known key formats, values assigned to a credential's name and long mixed tokens.
+Candidates are known key formats, values assigned to a credential's name, wherever it stands (in a
+URL's parameters, after another sign or within another value), and long mixed tokens.
 The forest sees the candidate's length and characters, how its character transitions differ from
 those of words, how much of it a dictionary covers, the path it was found at (``source``) and the
 words around it.  It is trained here from labelled findings: ``labelled_findings`` makes them by
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from posofold.llm.common import slices
 
 FINDINGS, MAX_FINDINGS, TREES, DEPTH, THRESHOLD, MARK = 6000, 20_000, 25, 9, 0.5, "[SECRET]"
-_CONTEXT = 48
+_CONTEXT, _MIN_VALUE = 48, 8
 _BEGIN, _END = (rf"-{{4,5}} ?{x} [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)? ?-{{4,5}}" for x in ("BEGIN", "END"))
 # line breaks, also escaped, and what quotes, joins or indents the lines of a key in code
 _LAYOUT = r"[\s\"'`,.>#*|%&;+]++|\\++[nrt]?"
@@ -50,12 +51,15 @@ _FORMATS = [
 ]
 _STARTS = ("AKIA", "ASIA", "gh", "xox", "AIza", "k_live_", "k_test_", "eyJ", "---BEGIN", "--- BEGIN")
 _KNOWN = re.compile("|".join(f"(?P<{n}>{p})" for n, p in _FORMATS))
+_SIGN = re.compile(r"[=:]+>?")
 # a quoted value ends at its closing quote, any other (or one that isn't closed on its line) at a delimiter
 _VALUE = re.compile(
-    r"""[=:]\s{0,3}(?:(["'`])((?:(?!\1)[^\n\\]|\\.){8,}+)\1|\\+(["'`])((?:(?!\\*\3)[^\n]){8,}+)\\+\3"""
+    r"""\s{0,3}(?:(["'`])((?:(?!\1)[^\n\\]|\\.){8,}+)\1|\\+(["'`])((?:(?!\\*\3)[^\n]){8,}+)\\+\3"""
     r"""|\\*["'`]{0,3}([^\s"'`,;<>(){}\[\]]{8,}+))"""
 )
 _NAME = re.compile(r"(?i)(?:api|access|secret|private|auth|client|encryption)?[_\- ]?(?:key|secret|token|passw(?:or)?d|passwd|pwd|credentials?)\W{0,3}$")
+_PARAMETER = re.compile(r"[^&#\s]*+")
+_BORDER = " \t\"'`:=?&/|@,;\\([{"
 _LONG = re.compile(r"[A-Za-z0-9_+/-]{20,}={0,2}")
 _KEY_WORDS = ("key", "secret", "token", "password", "passwd", "pwd", "credential", "auth", "bearer", "api")
 _SUM_WORDS = ("sha", "md5", "commit", "checksum", "digest", "hash", "revision", "uuid", "guid", "integrity", "etag", "build", "id")
@@ -94,6 +98,42 @@ def _transitions() -> np.ndarray:
 _PAIRS = _transitions()
 
 
+def _assigned(text: str) -> list[tuple[int, int]]:
+    """Spans of the values of credentials' names; every sign is tried, also within another value."""
+    out: list[tuple[int, int]] = []
+    run = parameter = 0  # ends of the unquoted value and of the URL parameter that were read last
+    for sign in _SIGN.finditer(text):
+        low = max(0, sign.start() - _CONTEXT)
+        name = _NAME.search(text, low, sign.start())
+        if not name:
+            continue
+        a, b = sign.end(), run
+        if a >= run:
+            value = _VALUE.match(text, a)
+            if not value:
+                continue
+            a, b = value.span(value.lastindex)
+            run = b if value.lastindex == 5 else run
+        word = name.start() + (not name.group()[0].isalnum())
+        while word > low and (text[word - 1].isalnum() or text[word - 1] in "_-."):
+            word -= 1
+        if word and (text[word - 1] in "?&" or text.endswith("&amp;", 0, word)):
+            if parameter < a:
+                parameter = _PARAMETER.match(text, a).end()
+            b = min(b, parameter)
+        if b - a < _MIN_VALUE:
+            continue
+        if out and word < out[-1][1]:  # in the value before, which ends there
+            start = out[-1][0]
+            if word < start or word > start and text[word - 1] not in _BORDER:
+                continue
+            out.pop()
+            if word - 1 - start >= _MIN_VALUE:
+                out.append((start, word - 1))
+        out.append((a, b))
+    return out
+
+
 def candidates(text: str | None) -> list[tuple[int, int, str]]:
     """Spans and kinds of all candidates of a whole text, without overlaps."""
     if not text:
@@ -101,9 +141,7 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
     found = []
     if any(s in text for s in _STARTS):
         found = [(m.start(), m.end(), m.lastgroup) for m in _KNOWN.finditer(text)]
-    for m in _VALUE.finditer(text):
-        if _NAME.search(text, max(0, m.start() - _CONTEXT), m.start()):
-            found.append((*m.span(m.lastindex), "assigned"))
+    found += [(a, b, "assigned") for a, b in _assigned(text)]
     for m in _LONG.finditer(text):
         token = m.group()
         if any(c.isdigit() for c in token) and any(c.isalpha() for c in token):

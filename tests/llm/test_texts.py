@@ -173,6 +173,22 @@ def test_long_values_and_keys_are_marked_whole(forest):
     assert span("-----BEGIN PRIVATE KEY-----\n" + body(2, "\n") + "\nthe rest of (this) text")[0].endswith("\nthe") is False
 
 
+def test_assignments_behind_another_sign_are_found(forest):
+    for before, after in [
+        ("", ""), ("https://h/x?password=", ""), ("https://h/x?user=me&password=", "&page=2"), ("https://h/x?a=b&amp;db_password=", "&amp;page=2"),
+        ("env:password=", ""), ("config: PASSWORD=", ""), ("      - POSTGRES_PASSWORD=", "\n      - A=b"), ("2024-01-02 10:11:12 level=info password=", " ok"),
+        ("secret:password=", ""), ('"password": "', '"'), ("password => '", "'"), ("password := ", ""), ("log: password == '", "'"), ('run: "env password=', ' x"'),
+    ]:
+        if not before:
+            before = "password="
+        text = f"{before}Hun7er!2aa{after}"
+        assert [text[a:b] for a, b, _ in secrets.candidates(text)][-1:] == ["Hun7er!2aa"], text
+        assert "Hun7er" not in _clean(text, forest), text
+    many = "key=" * 100_000  # in one pass, not one for each name
+    assert secrets.candidates(many + " ?password=" * 50_000)
+    assert secrets.candidates("?key=" * 100_000)
+
+
 def _archive(spark):
     rng = random.Random(2)
     big = "".join(rng.choice("abcdé\r\n") for _ in range(300_000))
