@@ -2,17 +2,18 @@
 
 A text is cut before each run of spaces; no piece of a BPE model with spaces at the start of
 pieces only reaches across such a cut.  Each segment is merged by an agenda of candidate pairs,
-best score first, leftmost if tied.  When a candidate comes up, a keyed hash of (seed, variant,
-segment, position, piece) decides whether it is skipped for good; with dropout 0 the ids are those
-of the library.  The variant of a document is a hash of its identifier modulo VARIANTS, so the
-same word is cut in different ways in different documents, and one seed always gives one result.
-Segments are encoded once for each variant in a bounded cache, which is all a task keeps.
+best score first, leftmost if tied.  When a candidate comes up, a keyed hash of (seed, doc_id,
+number of the segment in the text, position, piece) decides whether it is skipped for good; with
+dropout 0 the ids are those of the library.  So each occurrence of a word is cut by itself, and one
+seed always gives one result.  What doesn't depend on the key is cached: the candidates of a short
+segment and its ids if a few given ones (up to SKIPS) are skipped and all others merged.  Whether
+an occurrence skips any is hashed for many at once; what skips more is merged by itself.
 
 Characters without a piece, and a literal U+2581, become byte pieces, so that decoding joins the
 pieces' bytes, turns the space mark into a space and drops the leading space: exactly the text.
 
 Defined results: null text has no ids and decodes to the empty text, like an empty one.  Null
-doc_id is variant 0.  Other columns are not read.
+doc_id is replaced by a hash of the text.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from posofold.llm.common import documents, slices
+from posofold.llm.common import documents, mix, slices
 
-DROPOUT, VARIANTS, SEED = 0.1, 2, 1
+DROPOUT, SKIPS, SEED = 0.1, 2, 1
 MARK = "▁"
-_CACHE, _SHORT = 700_000, 48
+_CACHE, _SHORT, _STEP = 700_000, 48, 200_000  # cached results, characters, segments at once
 _SEGMENT = re.compile(r" +[^ ]*|[^ ]+")
 _M64 = (1 << 64) - 1
 _models: dict[str, Model] = {}
@@ -93,6 +94,33 @@ class Model:
                 out += [self.byte[b] for b in s.encode()]
         return out
 
+    def steps(self, segment: str, skipped: tuple[int, ...]) -> tuple[list[tuple[int, int]], list[int]]:
+        """Candidates (position, piece) of a short segment as they come up, when those with the
+        numbers ``skipped`` are skipped and all others merged, and the ids."""
+        symbols, order, ids = list(segment.replace(" ", MARK)), self.order, self.id
+        none, at, found = len(order), list(range(len(symbols))), []
+        agenda = [order.get(a + b, none) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)
+            merged = symbols[i] + symbols[i + 1]
+            found.append((at[i], ids[merged]))
+            if len(found) - 1 in skipped:
+                agenda[i] = none
+                continue
+            symbols[i] = merged
+            del symbols[i + 1], at[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = order.get(merged + symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = order.get(symbols[i - 1] + merged, none)
+        out = []
+        for s in symbols:
+            out += [ids[s]] if s in ids else [self.byte[b] for b in s.encode()]
+        return found, out
+
     def _agenda(self, segment: str, dropout: float, key: int) -> list[int]:
         # A literal mark must not be taken for a space: it stays apart, as its bytes.
         symbols = [None if c == MARK else MARK if c == " " else c for c in segment]
@@ -145,28 +173,107 @@ def model(path: str) -> Model:
 
 
 class Encoder:
-    """Encodes texts; segments from a bounded cache."""
+    """Encodes texts; what no key decides is in a bounded cache."""
 
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.model, self.dropout, self.seed = model(path), dropout, seed
-        self.young: dict[int, dict] = {}
-        self.old: dict[int, dict] = {}
-
-    def _new(self, segment: str, variant: int) -> bytes:
-        key = xxhash.xxh3_64_intdigest(segment, seed=(self.seed * 1_000_003 + variant) & _M64)
-        return array("I", self.model.encode(segment, self.dropout, key)).tobytes()
-
-    def encode(self, text: str | None, variant: int = 0) -> bytes:
-        """32-bit little-endian ids."""
-        if not text:
-            return b""
-        if sum(map(len, self.young.values())) > _CACHE:
-            self.old, self.young = self.young, {}
-        young, old = self.young.setdefault(variant, {}), self.old.get(variant, {})
-        segments = _SEGMENT.findall(" " + text)
-        for segment in set(segments).difference(young):
-            young[segment] = old.get(segment) or self._new(segment, variant)
-        return b"".join(map(young.__getitem__, segments))
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str | tuple[int, int], int] = {}  # number of a segment, and of (number, next skipped)
+        self.what: list[tuple[str, tuple[int, ...]]] = []
+        self.place, self.piece, self.ids = array("Q"), array("Q"), array("I")
+        self.steps_at, self.ids_at = array("q", [0]), array("q", [0])
+
+    def _add(self, key: str | tuple[int, int], segment: str, skipped: tuple[int, ...]) -> int:
+        steps, ids = self.model.steps(segment, skipped)
+        self.place.extend([(i * 0x9E3779B97F4A7C15) & _M64 for i, _ in steps])
+        self.piece.extend([(piece * 0xBF58476D1CE4E5B9) & _M64 for _, piece in steps])
+        self.ids.extend(ids)
+        self.steps_at.append(len(self.place))
+        self.ids_at.append(len(self.ids))
+        self.what.append((segment, skipped))
+        self.known[key] = len(self.what) - 1
+        return len(self.what) - 1
+
+    def _first_skips(self, node: np.ndarray, keys: np.ndarray, done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which occurrences skip a candidate after the first ``done`` ones, and its number."""
+        at = np.frombuffer(self.steps_at, np.int64)
+        start = at[node] + done
+        n = at[node + 1] - start
+        before = np.cumsum(n) - n
+        row = np.repeat(np.arange(len(n)), n)
+        step = np.arange(len(row)) - before[row]
+        where = start[row] + step
+        h = (keys[row] ^ np.frombuffer(self.place, np.uint64)[where]) + np.frombuffer(self.piece, np.uint64)[where]
+        h = ((h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)) >> np.uint64(32)
+        hit = np.flatnonzero(h < np.uint64(int(self.dropout * (1 << 32))))
+        hit = hit[np.concatenate(([True], row[hit][1:] != row[hit][:-1]))] if len(hit) else hit
+        return row[hit], step[hit] + done[row[hit]]
+
+    def _part(self, segments: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all segments, and how many each has."""
+        if len(self.what) > _CACHE:
+            self._clear()
+        for s in set(segments).difference(self.known):
+            if len(s) <= _SHORT and MARK not in s:
+                self._add(s, s, ())
+        node = np.fromiter((self.known.get(s, -1) for s in segments), np.int64, len(segments))
+        single = {int(i): self.model.encode(segments[i], self.dropout, int(keys[i])) for i in np.flatnonzero(node < 0)}
+        todo = np.flatnonzero(node >= 0)
+        done = np.zeros(len(todo), np.int64)
+        for level in range(SKIPS + 1 if self.dropout > 0 else 0):
+            if not len(self.place) or not len(todo):
+                break
+            rows, step = self._first_skips(node[todo], keys[todo], done)
+            todo, done = todo[rows], step + 1
+            if level == SKIPS:
+                single |= {int(i): self.model.encode(segments[i], self.dropout, int(keys[i])) for i in todo}
+                node[todo] = -1
+                break
+            code, same = np.unique(node[todo] << 8 | step, return_inverse=True)
+            children = []
+            for c in code.tolist():
+                key = (c >> 8, c & 255)
+                child = self.known.get(key)
+                segment, skipped = self.what[c >> 8]
+                children.append(self._add(key, segment, (*skipped, c & 255)) if child is None else child)
+            if len(todo):
+                node[todo] = np.array(children)[same]
+        at = np.frombuffer(self.ids_at, np.int64)
+        n = np.where(node >= 0, at[node + 1] - at[node], 0)
+        for i, ids in single.items():
+            n[i] = len(ids)
+        start = np.cumsum(n) - n
+        out = np.empty(int(n.sum()), np.uint32)
+        cached = np.repeat(node >= 0, n)
+        where = (np.repeat(at[node] - start, n) + np.arange(len(out)))[cached]
+        if len(where):
+            out[cached] = np.frombuffer(self.ids, np.uint32)[where]
+        for i, ids in single.items():
+            out[start[i] : start[i] + len(ids)] = ids
+        return out, n
+
+    def encode_all(self, texts: list[str | None], doc_ids: list[int | None]) -> list[bytes]:
+        """32-bit little-endian ids of each text."""
+        segments, keys, ends = [], [np.zeros(0, np.uint64)], [0]
+        for text, doc_id in zip(texts, doc_ids):
+            if text:
+                segments += _SEGMENT.findall(" " + text)
+                name = f"text {text}" if doc_id is None else str(doc_id)
+                base = np.uint64(xxhash.xxh3_64_intdigest(name, seed=self.seed & _M64))
+                keys.append(np.arange(len(segments) - ends[-1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + base)
+            ends.append(len(segments))
+        key = mix(np.concatenate(keys))
+        parts = [self._part(segments[i : i + _STEP], key[i : i + _STEP]) for i in range(0, len(segments), _STEP)]
+        if not parts:
+            return [b""] * len(texts)
+        ids = memoryview(np.concatenate([p[0] for p in parts]).tobytes())
+        at = 4 * np.concatenate(([0], np.cumsum(np.concatenate([p[1] for p in parts]))))[ends]
+        return [bytes(ids[i:j]) for i, j in zip(at.tolist(), at[1:].tolist())]
+
+    def encode(self, text: str | None, doc_id: int | None = 0) -> bytes:
+        return self.encode_all([text], [doc_id])[0]
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -181,13 +288,11 @@ def encoder_of(path: str, dropout: float = DROPOUT, seed: int = SEED) -> Encoder
     return _encoders[key]
 
 
-def _encoder(path: str, dropout: float, seed: int, variants: int):
+def _encoder(path: str, dropout: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, dropout, seed)
         for batch in slices(batches):
-            ids = batch.column("doc_id").to_pylist()
-            which = [0 if i is None else zlib.crc32(str(i).encode()) % variants for i in ids]
-            coded = [encoder.encode(t, v) for t, v in zip(batch.column("text").to_pylist(), which)]
+            coded = encoder.encode_all(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist())
             ends = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded]))).astype(np.int32)
             flat = pa.array(np.frombuffer(b"".join(coded), np.uint32).astype(np.int32))
             columns = [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)]
@@ -206,9 +311,9 @@ def _decoder(path: str):
     return run
 
 
-def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """doc_id and ids of every row of docs (doc_id, text)."""
-    return documents(docs).mapInArrow(_encoder(path, dropout, seed, variants), "doc_id long, ids array<int>")
+    return documents(docs).mapInArrow(_encoder(path, dropout, seed), "doc_id long, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
@@ -222,9 +327,8 @@ def summary(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
         for batch in slices(batches):
-            doc_ids, rows = batch.column("doc_id").to_pylist(), []
-            for doc_id, text in zip(doc_ids, batch.column("text").to_pylist()):
-                coded = encoder.encode(text, 0 if doc_id is None else zlib.crc32(str(doc_id).encode()) % VARIANTS)
+            doc_ids, texts, rows = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), []
+            for doc_id, text, coded in zip(doc_ids, texts, encoder.encode_all(texts, doc_ids)):
                 ids = memoryview(coded).cast("I")
                 back = encoder.model.decode(ids)
                 rows.append((doc_id, len(ids), zlib.crc32(coded), hashlib.sha256(back.encode()).hexdigest(), back == (text or "")))

@@ -65,6 +65,22 @@ def test_seed_and_variant_vary_the_cuts(texts):
     assert one == again != other and one != sp_dropout.Encoder(MODEL, 0.1, 1).encode(text, 1)
 
 
+def test_occurrences_are_cut_each_by_itself(texts):
+    encoder, word = sp_dropout.Encoder(MODEL, 0.1), " international"
+    cuts = {encoder.encode(word[1:], i) for i in range(300)}
+    assert len(cuts) > 3 and encoder.encode(word[1:], 7) == sp_dropout.Encoder(MODEL, 0.1).encode(word[1:], 7)
+    within = encoder.encode(word[1:] + word * 300, 1)
+    whole = encoder.model.encode(word, 0.0, 0)
+    assert within != within[: len(within) // 301] * 301 and len(within) // 4 > 301 * len(whole)
+    for dropout in (0.1, 0.6):  # cached results equal merging with the key
+        encoder = sp_dropout.Encoder(MODEL, dropout)
+        for text in texts[:20] + ODD[:-3]:
+            segments = sp_dropout._SEGMENT.findall(" " + text) if text else []
+            keys = sp_dropout.mix(sp_dropout.np.arange(5, 5 + len(segments), dtype=sp_dropout.np.uint64))
+            want = [x for s, k in zip(segments, keys) for x in encoder.model.encode(s, dropout, int(k))]
+            assert not segments or encoder._part(segments, keys)[0].tolist() == want
+
+
 def test_tables(spark, texts):
     rows = [(i, t, 0) for i, t in enumerate(texts[:30] + ODD)] + [(None, None, 1), (0, texts[0], 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int").repartition(3)
