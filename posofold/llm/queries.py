@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from posofold.llm import embed_join, exact_dedup, langid, line_dedup, ngram_join, packing, secrets, sp_dropout, substring, warc
+from posofold.llm import divergence, embed_join, exact_dedup, hard_negatives, langid, line_dedup, ngram_join, packing, secrets, sp_dropout, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,8 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": lambda s, d: exact_dedup.exact_dedup(_documents(s, d)),
         "pipeline": corpus_pipeline.run,
         "op10_embedding_near_dedup": lambda s, d: embed_join.near_vectors(_embeddings(s, d)),
+        "op11_hard_negatives": lambda s, d: hard_negatives.mine(_embeddings(s, d)),
+        "op13_source_divergence": lambda s, d: divergence.divergence(_documents(s, d)),
     }
 
 
@@ -103,6 +105,50 @@ n AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN component ON id = vec_id LEFT JOIN n ON a = vec_id"""
 
+_NEGATIVES = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM s JOIN p USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+
+_DIVERGENCE = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS doc FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+x AS (SELECT lang, source, doc, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS lang_n FROM x GROUP BY 1, 2 HAVING count(DISTINCT doc) >= 3),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM x SEMI JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+v AS (SELECT lang, CAST(count(*) AS HUGEINT) AS kept, sum(lang_n) AS lang_total FROM k GROUP BY 1),
+t AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM c GROUP BY 1, 2),
+f AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 1) // (coalesce(total, 0) + kept) AS p,
+         1 + 1000000000 * (lang_n + 1) // (lang_total + kept) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN f y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY 1, 2, 3),
+part AS (
+  SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value FROM pair
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM f WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM part)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The others use models, tokenizers or hashes that SQL has not; brute force in the tests."""
@@ -112,4 +158,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc": _WARC,
         "op9_exact_dedup": _EXACT,
         "op10_embedding_near_dedup": _VECTORS,
+        "op11_hard_negatives": _NEGATIVES,
+        "op13_source_divergence": _DIVERGENCE,
     }
