@@ -63,6 +63,28 @@ def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(full)), before[offsets]
 
 
+def _letter_bytes() -> np.ndarray:
+    """ASCII letters in lower case and all bytes of other characters; the rest is a blank."""
+    table = np.full(256, 32, np.uint8)
+    table[128:] = np.arange(128, 256)
+    table[ord("a") : ord("z") + 1] = table[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
+    return table
+
+
+def terms(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All runs of ASCII letters, in lower case, and other than ASCII characters of the texts in
+    one array, and the text that each is from (null: none)."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    clean = pa.py_buffer(_letter_bytes()[raw])
+    split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(texts), [None, offsets, clean], offset=texts.offset))
+    flat = split.flatten()
+    row = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy())
+    full = pc.greater(pc.binary_length(flat), 0)
+    return flat.filter(full).dictionary_encode(), row[full.to_numpy(zero_copy_only=False)]
+
+
 def hash_words(flat: pa.Array) -> np.ndarray:
     """A 64-bit hash for each word; each distinct word is hashed once."""
     if not len(flat):

@@ -28,11 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from posofold.llm.common import slices, stored
+from posofold.llm.common import slices, stored, terms
 
 MIN_DOCS, UNIT, TERM_RANKS = 3, 1_000_000_000, 200
 #: Groups in a block, postings in a slice, pairs that one numpy step adds.
@@ -40,39 +39,17 @@ BLOCK, SLICE, STEP_PAIRS = 256, 200_000, 1 << 20
 _STEP_BYTES = 4 << 20
 
 
-def _term_bytes() -> np.ndarray:
-    """ASCII letters in lower case and all bytes of other characters; the rest is a blank."""
-    table = np.arange(256, dtype=np.uint8)
-    letter = np.zeros(256, bool)
-    letter[ord("A") : ord("Z") + 1] = letter[ord("a") : ord("z") + 1] = letter[128:] = True
-    table[ord("A") : ord("Z") + 1] += 32
-    return np.where(letter, table, np.uint8(32))
-
-
-def _terms(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """All terms of the texts, and the text that each is from."""
-    texts = pa.concat_arrays([pc.fill_null(texts, "").cast(pa.large_string())])
-    _, offsets, data = texts.buffers()
-    raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-    clean = pa.Array.from_buffers(pa.large_string(), len(texts), [None, offsets, pa.py_buffer(_term_bytes()[raw])], offset=texts.offset)
-    split = pc.ascii_split_whitespace(clean)
-    flat = split.flatten()
-    row = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy())
-    full = pc.greater(pc.binary_length(flat), 0)
-    return flat.filter(full).dictionary_encode(), row[full.to_numpy(zero_copy_only=False)]
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, source, term, its number of occurrences and of documents, for each step of a task."""
     names = ["lang", "source", "term", "n", "docs"]
     for batch in slices(batches, step=_STEP_BYTES):
-        terms, row = _terms(batch.column("text"))
+        found, row = terms(batch.column("text"))
         if not len(row):
             continue
         lang, source = (batch.column(x).dictionary_encode() for x in ("lang", "source"))
         group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-        width = len(terms.dictionary)
-        code = terms.indices.to_numpy().astype(np.int64)
+        width = len(found.dictionary)
+        code = found.indices.to_numpy().astype(np.int64)
         by_doc, n = np.unique(row * width + code, return_counts=True)
         key, place = np.unique(group[by_doc // width] * width + by_doc % width, return_inverse=True)
         occurrences = np.bincount(place, weights=n, minlength=len(key)).astype(np.int64)  # below 2^53
@@ -80,7 +57,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [
             lang.dictionary.take(pa.array(at // len(source.dictionary))),
             source.dictionary.take(pa.array(at % len(source.dictionary))),
-            terms.dictionary.take(pa.array(key % width)).cast(pa.string()),
+            found.dictionary.take(pa.array(key % width)).cast(pa.string()),
             pa.array(occurrences),
             pa.array(np.bincount(place, minlength=len(key)).astype(np.int64)),
         ]
@@ -179,10 +156,10 @@ def divergence(docs: DataFrame) -> DataFrame:
     counted = rows.mapInArrow(_count, "lang string, source string, term string, n long, docs long")
     counted = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counted = stored(counted, "counts")
-    terms = counted.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= MIN_DOCS)
-    terms = stored(terms.drop("docs"), "terms")
-    entries = stored(counted.select("lang", "term", "source", "n").join(terms, ["lang", "term"]), "entries")
-    langs = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
+    kept = counted.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= MIN_DOCS)
+    kept = stored(kept.drop("docs"), "terms")
+    entries = stored(counted.select("lang", "term", "source", "n").join(kept, ["lang", "term"]), "entries")
+    langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
     totals = entries.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     groups = rows.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = groups.na.fill(0, ["total", "own", "kept", "lang_total"])

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from posofold.llm import divergence, embed_join, exact_dedup, hard_negatives, langid, line_dedup, ngram_join, packing, secrets, sp_dropout, substring, warc
+from posofold.llm import divergence, embed_join, exact_dedup, hard_negatives, langid, line_dedup, ngram_join, packing, secrets, sp_dropout, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,7 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZERS", "/opt/tokenizers")
-_documents, _embeddings, _pages = _table("documents"), _table("embeddings"), _table("pages")
+_documents, _embeddings, _pages, _labels = map(_table, ("documents", "embeddings", "pages", "labels"))
 
 
 def queries() -> dict[str, Query]:
@@ -36,6 +36,7 @@ def queries() -> dict[str, Query]:
         "pipeline": corpus_pipeline.run,
         "op10_embedding_near_dedup": lambda s, d: embed_join.near_vectors(_embeddings(s, d)),
         "op11_hard_negatives": lambda s, d: hard_negatives.mine(_embeddings(s, d)),
+        "op12_toxicity": lambda s, d: toxicity.toxicity(_documents(s, d), _labels(s, d)),
         "op13_source_divergence": lambda s, d: divergence.divergence(_documents(s, d)),
     }
 
