@@ -3,6 +3,7 @@ batches, and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,9 +24,13 @@ BASE_INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; only where that is unset, a temporary one is set."""
+    """A new folder below ``spark.checkpoint.dir``; only where that is unset and Spark runs on this
+    machine alone, as in tests, a temporary one is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="corpus-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -38,6 +43,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released() -> None:
+    """Give memory that a step has freed back to the system: Python workers outlive their stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", step: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into pieces of about ``step`` bytes of one text column, by whole rows."""
     for batch in batches:

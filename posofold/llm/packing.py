@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from posofold.llm.common import documents, slices, words
+from posofold.llm.common import documents, released, slices, words
 
 TIERS = (512, 1024, 2048, 4096)
 END, STEP_TOKENS = 2, 32768
@@ -221,6 +221,7 @@ def _packer(path: str, tiers: tuple[int, ...], with_ids: bool, cache: int, step:
             rest.done = 0
             yield rows(rest.full(size), number, size)
             size, number = size // 2, number + 1
+        released()
 
     return pack
 

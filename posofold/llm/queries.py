@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+import public_tokenizers
 from posofold.llm import divergence, embed_join, exact_dedup, hard_negatives, langid, line_dedup, ngram_join, packing, secrets, sp_dropout, substring, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,20 +18,21 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("TOKENIZERS", "/opt/tokenizers")
+#: Files of the public tokenizers.
+WORD_TOKENIZER = os.environ.get("WORD_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
+PIECE_TOKENIZER = os.environ.get("PIECE_TOKENIZER") or public_tokenizers.path("piece_bpe_32k.model")
 _documents, _embeddings, _pages, _labels = map(_table, ("documents", "embeddings", "pages", "labels"))
 
 
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": lambda s, d: line_dedup.without_repeated_lines(_documents(s, d), with_text=False),
-        "op2_sentencepiece_dropout": lambda s, d: sp_dropout.summary(_documents(s, d), f"{TOKENIZERS}/piece_bpe_32k.model"),
+        "op2_sentencepiece_dropout": lambda s, d: sp_dropout.summary(_documents(s, d), PIECE_TOKENIZER),
         "op3_secret_scan": lambda s, d: secrets.summary(_documents(s, d)),
         "op4_language_id": lambda s, d: langid.identify(_documents(s, d)),
         "op5_substring_dedup": lambda s, d: substring.without_repeats(_documents(s, d), with_text=False),
         "op6_ngram_jaccard_join": lambda s, d: ngram_join.near_documents(_documents(s, d)),
-        "op7_packing": lambda s, d: packing.pack(_documents(s, d), f"{TOKENIZERS}/word_bpe_49k.json"),
+        "op7_packing": lambda s, d: packing.pack(_documents(s, d), WORD_TOKENIZER),
         "op8_warc": lambda s, d: warc.records(_pages(s, d)),
         "op9_exact_dedup": lambda s, d: exact_dedup.exact_dedup(_documents(s, d)),
         "pipeline": corpus_pipeline.run,

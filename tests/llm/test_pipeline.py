@@ -51,6 +51,29 @@ def test_stages_equal_a_plain_pipeline(spark, folder):
     assert got == dict(zip(kept, np.array(count).tolist()))
 
 
+def _docs(spark, rows):
+    kind = "doc_id long, text string, lang string, source string, n_chars long, row string, group string"
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), "r", "g") for i, t in rows], kind)
+
+
+def test_no_text_is_lost_with_a_repeated_doc_id(spark, folder):
+    words = [f"w{n}" for n in range(60)]
+    a, b, c = " ".join(words[:40]), " ".join(words[20:]), " ".join(reversed(words))
+    near = a + " more"
+    rows = [(2, a), (5, a), (5, b), (1, c), (1, c), (1, c), (None, c + " "), (None, "alone and unnamed"), (None, "alone  and unnamed"),
+            (7, near), (5, "short"), (8, None), (8, ""), (9, " ")]
+    docs = _docs(spark, rows)
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.exact_copies(spark, docs, folder).collect()), key=str)
+    want = [(2, a), (5, b), (None, c + " "), (None, "alone  and unnamed"), (7, near), (5, "short"), (9, " ")]
+    assert got == sorted(want, key=str)
+    left = _docs(spark, got)
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, left, folder).collect()), key=str)
+    assert kept == sorted([x for x in want if x != (7, near)], key=str)
+    same = _docs(spark, [(3, a), (3, a + " end"), (None, a), (4, None), (None, None)])
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, same, folder).collect()), key=str)
+    assert len(kept) == 3 and kept[0][0] == 3 and [x for x in kept if x[1] is None] == [(4, None), (None, None)]
+
+
 def test_empty_table(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -4,9 +4,9 @@ import pytest
 import sentencepiece
 
 from posofold.llm import sp_dropout
-from posofold.llm.queries import TOKENIZERS
+from posofold.llm.queries import PIECE_TOKENIZER
 
-MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+MODEL = PIECE_TOKENIZER
 ODD = ["", " ", "  a  b ", "a▁b ▁ ▁▁x", "\x00\t\r\n", "日本語 🙂 é é", "a" * 500, "x y" * 50, "<s> </s> <0x41>", "     indented\n      more"]
 
 

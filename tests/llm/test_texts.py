@@ -8,10 +8,10 @@ import pyarrow as pa
 import pytest
 
 from posofold.llm import langid, packing, secrets, warc
-from posofold.llm.queries import TOKENIZERS
+from posofold.llm.queries import WORD_TOKENIZER
 
 DATA = "/root/testdata/sf0.001"
-WORDS = f"{TOKENIZERS}/word_bpe_49k.json"
+WORDS = WORD_TOKENIZER
 ODD = [None, "", " \n", "x", "It's <|endoftext|> é é ́a\x1cb ΣΑΣ İ", "123 456", "a" * 3000, "12 " * 9000, "日本語 テキスト"]
 
 
@@ -90,6 +90,57 @@ def test_language_odd_rows(table, spark):
     assert langid.identify(table.limit(0)).count() == 0
 
 
+def test_a_text_has_one_result_whatever_is_next_to_it(spark):
+    rows = [(0, "the and of", "en"), (2, "der die das", "de"), (3, "der und of", "de"), (5, "of the", "en")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = ["of a", " of", "(of)", "der", "? das", "x", "", "das "]
+    schema = "doc_id long, text string"
+    together = langid.predict(spark.createDataFrame(list(enumerate(texts)), schema).coalesce(1), model).collect()
+    for r in together:
+        alone = langid.predict(spark.createDataFrame([(r["doc_id"], r["text"])], schema), model).first()
+        assert alone == r
+
+
+def test_more_languages_than_a_block(spark, monkeypatch):
+    langs = [f"l{k:03d}" for k in range(300)]
+    rows = [(n, " ".join(f"{chr(0x4E00 + 7 * k)}{chr(0x4E01 + 7 * k + j)}" for j in range(5)), lang)
+            for k, lang in enumerate(langs) for n in (4 * k, 4 * k + 1, 4 * k + 2, 4 * k + 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(4)
+    model = langid.train(df)
+    assert [len(b.langs) for b in model.blocks] == [256, 44] and model.langs == langs
+    got = langid.predict(df, model).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+    monkeypatch.setattr(langid, "LANG_BLOCK", 300)
+    whole = {r["doc_id"]: r for r in langid.predict(df, langid.train(df)).collect()}
+    assert all(abs(whole[r["doc_id"]]["score"] - r["score"]) < 1e-9 and abs(whole[r["doc_id"]]["fit"] - r["fit"]) < 1e-6 for r in got)
+
+
+def test_fit_tells_texts_of_no_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.train(docs)
+    r = random.Random(3)
+    strange = [(k, "".join(r.choice("qxzjkvwyh ") for _ in range(400))) for k in range(5)]
+    strange += [(9, "".join(chr(0x3400 + r.randrange(5000)) for _ in range(300)))]
+    got = langid.predict(spark.createDataFrame(strange, "doc_id long, text string"), model).collect()
+    assert all(r["fit"] > 0.5 and r["lang_pred"] in model.langs for r in got)
+    assert langid.predict(docs, model).where("fit > 0.5 and lang_pred <> 'und'").count() == 0
+
+
+def test_columns_of_the_same_name(spark):
+    rows = [(0, "the and of", "en", 1, "a", "b"), (2, "der die das", "de", 2, "c", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int, lang_pred string, fit string")
+    got = langid.predict(df, langid.train(df))
+    assert got.columns == ["doc_id", "text", "lang", "lang_pred", "score", "fit"]
+    assert [r["lang_pred"] for r in got.orderBy("doc_id").collect()] == ["en", "de"]
+
+
+def test_a_very_long_text(spark):
+    rows = [(0, "the and of " * 100, "en"), (2, "der die das " * 100, "de"), (3, "the of and " * 300_000, None), (5, "x" * 2_000_000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.predict(df, langid.train(df)).collect()}
+    assert got[3]["lang_pred"] == "en" and 0 <= got[5]["score"] <= 1
+
+
 def test_scores_equal_a_plain_count(spark):
     rows = [(0, "abab cd", "x"), (2, "cdcd dc", "y"), (3, "ab cd", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
