@@ -1,7 +1,9 @@
 """A corpus pipeline: language, exact copies, near copies, secrets, packed windows.
 
 Every stage works on all rows that the stage before kept, and is written as Parquet and read
-again.  Rows without doc_id can't be told apart by it and stay in both dedup stages.
+again.  The dedup stages tell rows apart by a number of their own, not by doc_id, so rows that
+repeat a doc_id or have none are judged one by one, as any other.  Of equally good rows the one
+with the smallest doc_id stays (one without doc_id only if the group has no other).
 """
 
 from __future__ import annotations
@@ -9,7 +11,8 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posofold.llm import exact_dedup, langid, ngram_join, packing, secrets
@@ -17,11 +20,12 @@ from posofold.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
-TOKENIZER = os.path.join(os.environ.get("TOKENIZERS", "/opt/tokenizers"), "word_bpe_49k.json")
-#: Texts whose best language is no more likely than this are rejected, as are texts without letters.
-MIN_SCORE = 0.5
+TOKENIZER = os.environ.get("WORD_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
+#: Rejected are texts without letters, texts whose best language is no more likely than this, and
+#: texts whose n-grams are less likely, by this much on average, than any that the language was learned from.
+MIN_SCORE, MAX_MISFIT = 0.5, 0.5
 #: Workers outlive a stage: the tokenizer leaves memory for the others.
-CACHE, STEP_BYTES = 120_000, 6 << 20
+CACHE, STEP_BYTES = 60_000, 4 << 20
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -33,19 +37,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _documents(docs)
     model = langid.train(docs.where(~langid.held_out(docs["doc_id"])))
     known = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE))
-    return known.select(*COLUMNS)
+    return known.where(F.col("fit") <= MAX_MISFIT).select(*COLUMNS)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    return stored(_documents(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+
+
+def _one_of_each(rows: DataFrame, groups: DataFrame, *better: Column) -> DataFrame:
+    """The first row, by ``better`` and then by doc_id, of each group of (row, group)."""
+    place = rows.select("row", *(c.alias(f"by{n}") for n, c in enumerate(better)), F.col("doc_id").isNull().alias("unnamed"), "doc_id")
+    order = F.struct(*(f"by{n}" for n in range(len(better))), "unnamed", "doc_id", "row")
+    kept = place.join(groups, "row").groupBy("group").agg(F.min(order).alias("first")).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    dropped = exact_dedup.exact_dedup(docs).where("not kept").select("doc_id")
-    return _documents(docs).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    """One document, the one with the most characters, of each group of equal texts."""
+    rows = _numbered(docs)
+    groups = exact_dedup.exact_dedup(rows.select(F.col("row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("row"), F.col("keep_id").alias("group"))
+    return _one_of_each(rows, groups, -F.coalesce(F.char_length("text"), F.lit(0)))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest doc_id, of each group of near copies."""
-    dropped = ngram_join.near_documents(docs).where("doc_id <> component_id").select("doc_id")
-    return _documents(docs).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    rows = _numbered(docs)
+    groups = ngram_join.near_documents(rows.select(F.col("row").alias("doc_id"), "text"))
+    return _one_of_each(rows, groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
