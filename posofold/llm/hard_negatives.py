@@ -31,6 +31,7 @@ ANCHORS, CHUNK = 1024, 16384
 SCALE, LIMIT = 256, 1 << 25  # components are below LIMIT once scaled
 LABELS, MISLABELLED, ANCHOR_EVERY = 10, 7, 100
 _STEP = 64  # anchors scored at a time
+MAX_PARTITIONS = 20_000  # more (block, chunk) pairs share partitions
 _FOUND = "anchor long, anchor_id long, positive long, positive_id long, positive_score long, score long, row long, vec_id long"
 
 
@@ -170,6 +171,7 @@ def mine(
     parts = counts.where("anchors > 0").select(
         "dim", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"), F.ceil(F.col("anchors") / ANCHORS).cast("int").alias("blocks")
     )
+    cells = int(parts.agg(F.sum(F.col("chunks").cast("long") * F.col("blocks"))).first()[0] or 1)
     lot = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     packed = stored(
@@ -177,14 +179,16 @@ def mine(
     )
     candidates = packed.join(parts, "dim").withColumns({"chunk": lot("chunks"), "is_anchor": F.lit(False)}).withColumn("block", each("blocks"))
     goal = "array<struct<positive:long,positive_id:long,positive_score:long>>"
-    columns = ["dim", "block", "chunk", "is_anchor", "row", "vec_id", "label", "v", "planes", "goals"]
+    keys = ["dim", "block", "chunk"]
+    columns = [*keys, "is_anchor", "row", "vec_id", "label", "v", "planes", "goals"]
     candidates = candidates.withColumns({"v": F.lit(None).cast("array<int>"), "goals": F.lit(None).cast(goal)})
 
     def search(goals: DataFrame, pick, k: int) -> DataFrame:
         side = goals.join(parts, "dim").withColumns({"block": lot("blocks"), "is_anchor": F.lit(True)}).withColumn("chunk", each("chunks"))
         side = side.withColumn("planes", F.lit(None).cast("binary"))
         work = side.select(*columns).union(candidates.select(*columns))
-        return work.groupBy("dim", "block", "chunk").applyInArrow(_searcher(bits, pick, k), _FOUND)
+        work = work.repartition(min(cells, MAX_PARTITIONS), *keys)  # few bytes are much work: AQE would unite them
+        return work.groupBy(*keys).applyInArrow(_searcher(bits, pick, k), _FOUND)
 
     near = search(anchors.withColumn("goals", F.lit(None).cast(goal)), _same_label, positives)
     near = _first_rows(near, ["anchor"], positives)
