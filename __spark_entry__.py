@@ -9,6 +9,10 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,15 +28,15 @@ from posofold.operators.extract import extract_element, extract_elements
 from posofold.operators.fhir import PARTS
 from posofold.operators.grammar import check_grammar
 from posofold.operators.regex_elements import read_leading
+from posofold.operators.spans import spans
 from posofold.plans import jobs
 from posofold.sources import tables, templates
 from posofold.sources.templates import case_sql, fill, literal, slots_sql
 from posofold.sources.vocabulary import normalisation_rules
 
-try:  # the corpus operators are optional
-    from posofold.llm import queries as corpus_queries
-except ImportError:
-    corpus_queries = None
+# the corpus operators are optional; a fault inside them is no absence
+_OPTIONAL = ("corpus_pipeline", "posofold.llm")
+corpus_queries = import_module("posofold.llm.queries") if all(map(find_spec, _OPTIONAL)) else None
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROW = ["dosage", "dosage_count"]
@@ -70,12 +74,16 @@ def _assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(_counted(spark, sf_dir))
 
 
-def _run(spark: SparkSession, sf_dir: str, *steps: Callable) -> jobs.Datasets:
-    """Datasets of a run of jobs over the whole generated corpus, in the shared folder."""
+def _datasets(spark: SparkSession) -> jobs.Datasets:
+    """Names of the datasets of a run, in the shared folder."""
     jobs.configure(spark)
     folder = tables.scratch(spark)
-    names = "records curated united lookup refined filtered reports"
-    at = jobs.Datasets(*[f"{folder}{n}/" for n in names.split()])
+    return jobs.Datasets(*[f"{folder}{n}/" for n in "records curated united lookup refined filtered reports".split()])
+
+
+def _run(spark: SparkSession, sf_dir: str, *steps: Callable) -> jobs.Datasets:
+    """Datasets of a run of jobs over the whole generated corpus, in the shared folder."""
+    at = _datasets(spark)
     tables.write(templates.instructions(spark, sf_dir), at.records)
     tables.write(spark.createDataFrame([], "dosage string"), at.curated)
     jobs.run_prepare(spark, at)
@@ -92,8 +100,8 @@ def _written_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written(df: DataFrame) -> DataFrame:
     """The frame as a dataset, as the jobs hand it over: what follows reads it several times."""
     path = tables.scratch(df.sparkSession)
-    tables.write(df, path)
-    return tables.read(df.sparkSession, path)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _refined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,6 +218,61 @@ def _numeric(spark, sf_dir):
     return df.select(*ROW, F.col("exclude").alias("numeric_fail"))
 
 
+def _spans(spark, sf_dir, chosen: bool, *columns: str):
+    """One row for each hit of a pattern."""
+    found = spans(read_leading(_plain(spark, sf_dir))).select(*ROW, F.explode("spans").alias("s"))
+    return found.where(F.col("s.chosen") == chosen).select(*ROW, *[F.col(f"s.{c}").alias(c) for c in columns])
+
+
+def _p8_counts(spark, sf_dir):
+    """A lookup of the even orders, renewed by a batch over all of them."""
+    at = _datasets(spark)
+    tables.write(spark.createDataFrame([], "dosage string"), at.curated)
+    for where, job in (("l_orderkey % 2 = 0", jobs.run_model), ("true", jobs.run_batch)):
+        tables.write(templates.instructions(spark, sf_dir, where), at.records)
+        jobs.run_prepare(spark, at)
+        job(spark, at, BATCH_CUT)
+    return tables.read(spark, at.lookup).select(*ROW, "dosage_lower", "buckets", "exclude", "cross_column_fail", "mapped")
+
+
+def _src5_batch(spark, sf_dir):
+    """A lookup made with a wrong word in the site's vocabulary, and a batch after its correction."""
+    at = replace(_datasets(spark), vocabulary=f"{tables.scratch(spark)}words/")
+    tables.write(spark.createDataFrame([], "dosage string"), at.curated)
+    tables.write(templates.instructions(spark, sf_dir), at.records)
+    words = "term string, meaning string"
+    tables.write(spark.createDataFrame([("capsules", "capsule"), ("tablets", "pills")], words), at.vocabulary)
+    jobs.run_prepare(spark, at)
+    jobs.run_model(spark, at, BATCH_CUT)
+    tables.write(spark.createDataFrame([], words), at.vocabulary)
+    jobs.run_batch(spark, at, BATCH_CUT)
+    return tables.read(spark, at.lookup).select(*ROW, "dosage_lower", "buckets", "exclude", "cross_column_fail", "mapped")
+
+
+def _snk(spark, sf_dir):
+    """The lookup read again, refined and filtered, both written; the filtered rows read again."""
+    at = _run(spark, sf_dir, lambda s, at: jobs.run_model(s, at, None), lambda s, at: jobs.run_refine(s, at, BATCH_CUT))
+    return tables.read(spark, at.filtered).select(*ROW, "dosage_lower", "buckets")
+
+
+def _snk3(spark, sf_dir):
+    """The eight reports as written: rows of each."""
+    steps = (lambda s, at: jobs.run_model(s, at, None), lambda s, at: jobs.run_refine(s, at, None), jobs.run_reports)
+    at = _run(spark, sf_dir, *steps)
+    names = ("element_orders_mapped", "pattern_usage", "preprocessing_report", "random_sample", "captured_clean_summary")
+    counted = [
+        tables.read(spark, at.reports + n).agg(F.lit(n).alias("report"), F.count(F.lit(1)).alias("n")).select("report", "n") for n in names
+    ]
+    return reduce(DataFrame.union, counted)
+
+
+def _snk4(spark, sf_dir):
+    """Facts of the written lookup about its own making."""
+    df = _written_lookup(spark, sf_dir)
+    made = F.col("timestamp").isNotNull() & (F.col("timestamp") == F.col("_snapshot_ts")) & (F.col("timestamp") <= F.current_timestamp())
+    return df.select(*ROW, "space", made.alias("stamped"))
+
+
 def _fhir_parts(spark, sf_dir):
     df = _refined(spark, sf_dir).where(F.col("fhir_json").isNotNull())
     parts = [F.get_json_object("fhir_json_no_text", f"$.{p}").alias(p) for p in PARTS]
@@ -254,6 +317,11 @@ def queries() -> dict[str, Query]:
             _counted(s, d), _counted(s, d).where(F.col("dosage_count") >= BATCH_CUT)
         ),
         "P8_batch": _p8_batch,
+        "P8_counts": _p8_counts,
+        "SRC5_batch": _src5_batch,
+        "SRC4_SNK1_SNK2": _snk,
+        "SNK3": _snk3,
+        "SNK4": _snk4,
         "N1": lambda s, d: _documents(s, d).select("doc_id", F.lower("text").alias("text")),
         "N2": lambda s, d: _documents(s, d).select("doc_id", norm.lower_and_squeeze(F.col("text")).alias("text")),
         "N3": _step("latin"),
@@ -275,6 +343,8 @@ def queries() -> dict[str, Query]:
             *ROW, F.array_join(tokens_of(encode(F.col("dosage_lower"))), "").alias("glued")
         ),
         "X4_X5_X12": lambda s, d: _extracted(s, d).select(*ROW, "dosage_elements"),
+        "X4_spans": lambda s, d: _spans(s, d, True, "element", "pattern", "captured"),
+        "X5_rejected": lambda s, d: _spans(s, d, False, "element", "pattern", "start", "size", "captured", "reason", "by"),
         "X6": lambda s, d: _tokens(s, d)
         .where(F.col("doseQuantity_units").isin(*vocab.VERB_OR_UNIT))
         .select(*ROW, "doseQuantity_clean", "methodDirect_clean"),
@@ -554,6 +624,23 @@ def _patterns_sql() -> str:
     )
 
 
+def _chosen_spans() -> str:
+    branches = [
+        _truth({"pattern": case_sql(f"{k}_pattern"), "captured": case_sql(f"{k}_captured")}, "WHERE pattern IS NOT NULL", f"'{k}' AS element, *")
+        for k in KEYS
+    ]
+    return f"SELECT dosage, dosage_count, element, pattern, captured FROM ({' UNION ALL '.join(branches)})"
+
+
+def _report_sizes(out: dict[str, str]) -> str:
+    """Rows of written reports, from the SQL of the reports themselves."""
+    sources = {
+        "element_orders_mapped": out["A5"], "pattern_usage": out["A6"], "preprocessing_report": out["A8"],
+        "random_sample": out["A2"], "captured_clean_summary": out["A1"],
+    }
+    return " UNION ALL ".join(f"SELECT '{name}' AS report, count(*) AS n FROM ({sql})" for name, sql in sources.items())
+
+
 def _rules_sql() -> str:
     rows = []
     for step, rule, to, regex in normalisation_rules():
@@ -620,6 +707,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT dosage, dosage_count, dosage_lower, buckets FROM (SELECT *, max(dosage_count) OVER "
             f"(PARTITION BY dosage_lower) AS top FROM ({_truth(assessed, 'WHERE mapped')})) WHERE top >= {BATCH_CUT}"
         ),
+        "X4_spans": _chosen_spans(),
         "P8": f"SELECT dosage, count(*) AS dosage_count FROM ({lines}) GROUP BY 1 HAVING count(*) < {BATCH_CUT}",
         "N1": "SELECT doc_id, lower(text) AS text FROM documents",
         "N2": f"SELECT doc_id, {_SQUEEZED.format('text')} AS text FROM documents",
@@ -700,6 +788,8 @@ def oracle_sql() -> dict[str, str]:
     for i, key in enumerate(REGEX_ELEMENTS, start=1):
         names = [f"{key}_clean"] + (["route_adverbial"] if key == "route" else [])
         out[f"G{i}"] = _truth(_expected(*names), f"WHERE {key}_clean IS NOT NULL")
+    out |= {"P8_counts": out["P5"], "SRC5_batch": out["P5"], "SRC4_SNK1_SNK2": out["P7"], "SNK3": _report_sizes(out)}
+    out["SNK4"] = f"SELECT dosage, dosage_count, ' ' AS space, true AS stamped FROM ({out['P5']})"
     if corpus_queries:
         out.update(corpus_queries.oracle_sql())
     return out

@@ -50,6 +50,11 @@ def select_frequent(df: DataFrame, min_count: int | None) -> DataFrame:
     return join_unique(keyed, keys.select("_key"), "_key", hot, ["dosage"]).select(*df.columns)
 
 
+def rows_of(normalised: DataFrame, wanted: DataFrame, grouped: DataFrame) -> DataFrame:
+    """All rows whose key is among the ``wanted`` ones."""
+    return join_unique(normalised, wanted.select(KEY), KEY, hot_keys(grouped, KEY, "variants"), ["dosage"])
+
+
 def rejoin(
     normalised: DataFrame, assessed: DataFrame, grouped: DataFrame, keep_screening_reason: bool = True
 ) -> DataFrame:

@@ -41,10 +41,13 @@ def element_pattern(element: str, words: list[str]) -> str:
     return pattern
 
 
+_NEED = ("need", "requir", "necess")
+_NEEDS = (*_NEED, *(p for p in vocab.AS_NEEDED if not any(n in p for n in _NEED)))
+
 # A cheap test that is true whenever the pattern can match, where one is worth having.
 _HINT = {
-    "asNeededCodeableConcept": ("need", "requir", "necess"),
-    "asNeededBoolean": ("need", "requir", "necess"),
+    "asNeededCodeableConcept": _NEEDS,
+    "asNeededBoolean": _NEEDS,
     "forElement": ("for ", "to "),
     "extrasAsDirected": ("as directed",),
     "extrasALTER": ("drowsiness",),

@@ -6,14 +6,17 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posofold.operators import corpus, reports
 from posofold.operators.assess import assess, with_array_fields
 from posofold.operators.enrich import refine
 from posofold.operators.normalise import normalise
-from posofold.sources.tables import read, write
+from posofold.sources import vocabulary
+from posofold.sources.tables import Version, is_path, latest, read, read_version, version, write, write_parts
+
+BUCKETS = 64  # parts of a lookup that are written anew or stay
 
 
 def _settings(partition: str) -> dict[str, str]:
@@ -139,16 +142,36 @@ class Datasets:
     refined: str
     filtered: str
     reports: str  # prefix of the eight report datasets
+    vocabulary: str | None = None  # the site's own words (term, meaning), read before normalising
+
+    def _beside(self, name: str, what: str) -> str:
+        return name.rstrip("/") + what + "/" * name.endswith("/")
 
     @property
     def normalised(self) -> str:
         """Work dataset of the model and batch jobs, next to the united one."""
-        return self.united.rstrip("/") + "_normalised" + "/" * self.united.endswith("/")
+        return self._beside(self.united, "_normalised")
+
+    @property
+    def keys(self) -> str:
+        """The assessment of each key of the lookup, next to it."""
+        return self._beside(self.lookup, "_keys")
+
+    @property
+    def assessed_with(self) -> str:
+        """The terms and rules that the keys were assessed with, next to the lookup."""
+        return self._beside(self.lookup, "_assessed_with")
 
 
 def _normalised(spark: SparkSession, at: Datasets) -> DataFrame:
     """The united corpus, normalised once and written: the jobs read it several times."""
-    write(normalise(read(spark, at.united)), at.normalised)
+    united = read(spark, at.united)
+    site = vocabulary.site_terms(spark, at.vocabulary)
+    if site:
+        united = united.withColumn("_text", vocabulary.replace_words(F.col("dosage"), site))
+        write(normalise(united, "_text").drop("_text"), at.normalised)
+    else:
+        write(normalise(united), at.normalised)
     return read(spark, at.normalised)
 
 
@@ -157,17 +180,85 @@ def run_prepare(spark: SparkSession, at: Datasets) -> None:
         write(prepare(read(spark, at.records), read(spark, at.curated)), at.united)
 
 
-def run_model(spark: SparkSession, at: Datasets, min_count: int | None) -> None:
-    """Full refresh: replaces the lookup."""
+def run_model(spark: SparkSession, at: Datasets, min_count: int | None, buckets: int = BUCKETS) -> None:
+    """Full refresh: assesses all keys and replaces the lookup."""
     with configured(spark):
-        write(model_normalised(_normalised(spark, at), min_count), at.lookup)
+        _refresh(spark, at, min_count, buckets, None)
+
 
+def run_batch(spark: SparkSession, at: Datasets, min_count: int | None) -> list[int]:
+    """Incremental: the lookup becomes what a full refresh would make of the united corpus.
 
-def run_batch(spark: SparkSession, at: Datasets, min_count: int | None) -> None:
-    """Incremental: appends what a full refresh would have and the lookup lacks."""
+    Keys that were assessed with the terms of today keep their assessment; new keys, and those
+    whose text holds a changed term, are assessed.  Counts are those of today.  Only buckets of
+    keys in which a row differs are written again, and their numbers are returned; the files of
+    all others stay.  A lookup that is a table, or that was not written by ``run_model``, is
+    refreshed as a whole.
+    """
     with configured(spark):
-        new = batch_normalised(_normalised(spark, at), read(spark, at.lookup), min_count)
-        write(new, at.lookup, mode="append")
+        before = latest(spark, at.lookup) if is_path(at.lookup) else None
+        known = before if before and "digests" in before.facts else None
+        return _refresh(spark, at, min_count, known.facts["buckets"] if known else BUCKETS, known)
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(corpus.KEY), F.lit(buckets)).cast("int")
+
+
+def _digests(rows: DataFrame, buckets: int) -> dict[str, list[int]]:
+    """By bucket: number of rows and two hashes of what a row of the lookup is made of.
+
+    Hashes combine within each task, so a bucket is one small row whatever it holds.
+    """
+    made_of = ["dosage", "dosage_count", "is_test", corpus.KEY, "exclude"]
+    hashes = [F.bit_xor(F.xxhash64(*made_of, F.lit(seed))) for seed in (1, 2)]
+    sums = rows.groupBy(_bucket(buckets).alias("bucket")).agg(F.count(F.lit(1)), *hashes)
+    return {str(r[0]): [r[1], r[2], r[3]] for r in sums.collect()}  # a row for each bucket
+
+
+def _known_keys(spark: SparkSession, at: Datasets, before: Version) -> DataFrame | None:
+    """Keys whose assessment still holds."""
+    keys = read_version(spark, at.keys, version(spark, at.keys, before.facts["keys"]))
+    with_ = read_version(spark, at.assessed_with, version(spark, at.assessed_with, before.facts["assessed_with"]))
+    changed = vocabulary.changed_terms({tuple(r) for r in with_.collect()}, vocabulary.assessed_with())
+    return None if changed is None else keys.where(~vocabulary.holds(corpus.KEY, changed))
+
+
+def _refresh(spark: SparkSession, at: Datasets, min_count: int | None, buckets: int, before: Version | None) -> list[int]:
+    """Write the keys, then the lookup, where they differ from the version ``before``."""
+    normalised = _normalised(spark, at)
+    grouped = corpus.regroup(normalised)
+    wanted = corpus.frequent_keys(grouped, min_count).where(F.col(corpus.KEY).isNotNull())
+    rows = normalised if min_count is None else corpus.rows_of(normalised, wanted, grouped)
+    digests = _digests(rows.where(F.col(corpus.KEY).isNotNull()), buckets)
+    known = _known_keys(spark, at, before) if before else None
+    fresh = wanted if known is None else wanted.join(known.select(corpus.KEY), corpus.KEY, "left_anti")
+    if before:
+        old = before.facts["digests"]
+        touched = {int(k) for k in {*old, *digests} if old.get(k) != digests.get(k)}
+        touched |= {r[0] for r in fresh.select(_bucket(buckets)).distinct().collect()}  # one for each bucket at most
+    else:
+        touched = set(range(buckets))
+    if not touched:
+        return []
+    here = _bucket(buckets).isin(sorted(touched))
+    assessed = assess(fresh, F.current_timestamp()).drop("dosage_count", "variants")
+    if known is not None:
+        stays = known.where(here).join(wanted.select(corpus.KEY), corpus.KEY, "left_semi")
+        assessed = assessed.unionByName(stays)
+    filled = [k for k in sorted(touched) if str(k) in digests]
+    if not is_path(at.lookup):
+        write(assessed, at.keys)
+        write(corpus.rejoin(normalised, read(spark, at.keys), grouped), at.lookup)
+        return sorted(touched)
+    keys = write_parts(assessed.withColumn("bucket", _bucket(buckets)), at.keys, "bucket", sorted(touched), filled)
+    terms = spark.createDataFrame(sorted(vocabulary.assessed_with()), "list string, term string, entry string")
+    write(terms, at.assessed_with)
+    facts = {"buckets": buckets, "digests": digests, "keys": keys.number, "assessed_with": latest(spark, at.assessed_with).number}
+    new = read_version(spark, at.keys, keys, [str(k) for k in filled])
+    lookup = corpus.rejoin(normalised.where(here), new, grouped).withColumn("bucket", _bucket(buckets))
+    write_parts(lookup, at.lookup, "bucket", sorted(touched), filled, facts)
+    return sorted(touched)
 
 
 def run_refine(spark: SparkSession, at: Datasets, min_count: int | None) -> None:

@@ -70,9 +70,9 @@ def case_sql(field: str, default: str = "NULL") -> str:
     return f"CASE template {cases} ELSE {default} END" if cases else default
 
 
-def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``dosage`` of every line item."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+def instructions(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """``dosage`` of every line item that meets a condition."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where(where).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
     ship = _SHIP["spark"]
