@@ -6,6 +6,8 @@ the rows are partitioned.  Every top-n keeps its candidates per partition first.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from posofold.sources.vocabulary import normalisation_rules, patterns, term_rows
 
 SAMPLE = 200
 SEED = 42
-PARTS = 64  # parts of a group that are ranked apart from each other first
+PARTS = 64  # parts of the partitions whose candidates are ranked apart from each other first
 
 
 def draw(seed: int = SEED, *columns: str) -> Column:
@@ -67,17 +69,23 @@ def _first_rows(df: DataFrame, groups: list[str], order: list, size: int) -> Dat
     return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= size).drop("_rank")
 
 
+def candidates(df: DataFrame, groups: Column, name: str, size: int, order: list) -> DataFrame:
+    """The smallest draws of each group, by sets of partitions."""
+    keys = df.select("dosage", F.explode(groups).alias(name)).withColumn("_part", F.spark_partition_id() % PARTS)
+    return _first_rows(keys, [name, "_part"], order, size)
+
+
 def _top_per_group(df: DataFrame, groups: Column, name: str, size: int, seed: int) -> DataFrame:
     """The first rows, in the order of the draw, of each of the fixed groups in the array
     ``groups`` of a row; the column ``name`` holds the group.
 
-    Texts and groups alone are ranked, within parts of each group first, so that no task and
-    no shuffle meets a whole group or a wide row.  The rows of the texts drawn, at most
-    ``size`` texts for each group, are then picked from the wide frame.
+    Texts and groups alone are ranked.  Each partition keeps the ``size`` smallest draws of each
+    group before anything is shuffled, so the shuffle has at most groups x size x partitions
+    rows; these are merged in two rounds, ``PARTS`` sets of partitions first.  The rows of the
+    texts drawn, at most ``size`` texts for each group, are then picked from the wide frame.
     """
     order = [draw(seed, "dosage"), "dosage"]
-    keys = df.select("dosage", F.explode(groups).alias(name)).withColumn("_part", F.pmod(F.xxhash64("dosage"), F.lit(PARTS)))
-    drawn = _first_rows(_first_rows(keys, [name, "_part"], order, size), [name], order, size)
+    drawn = _first_rows(candidates(df, groups, name, size, order), [name], order, size)
     drawn = drawn.groupBy("dosage").agg(F.collect_set(name).alias("_drawn"))
     rows = df.withColumn("_groups", groups).join(F.broadcast(drawn), "dosage")
     rows = rows.withColumn(name, F.explode(F.array_intersect("_groups", "_drawn"))).drop("_groups", "_drawn")
@@ -185,16 +193,50 @@ def vocabulary_usage(corpus: DataFrame, text: str = "dosage_lower", weight: str
     )
 
 
+_GAP = "\u0000"
+
+
+def anchor(regex: str) -> str:
+    """The longest plain text that every match of a rule's regex holds; empty if there is none."""
+    if "|" in regex:
+        return ""
+    plain = re.sub(r"\\[a-zA-Z]|\[[^\]]*\]|\{[^}]*\}", _GAP, regex)  # classes, and how often
+    plain = re.sub(r"\([^()]*\)[?*]|[^)][?*]", _GAP, plain)  # what may be missing
+    plain = re.sub(r"\\(.)", r"\1", plain)
+    return max(re.split(r"[^a-z0-9 ]+", plain), key=len)
+
+
+def may_match(step: str, rule: str, regex: str, text: Column, plain: Column, words: Column) -> Column | None:
+    """A cheap test that is true wherever the rule's regex matches; None if there is none.
+
+    ``words`` are the words of the text and ``plain`` is the text without dots: an abbreviation is
+    a word of its own, or it is spelled with dots between its letters.
+    """
+    if step == "latin_dotted":
+        return F.array_contains(words, rule) | (F.contains(text, F.lit(".")) & F.contains(plain, F.lit(rule)))
+    if regex == rf"\b{rule}\b" and re.fullmatch(r"\w+", rule):
+        return F.array_contains(words, rule)
+    held = anchor(regex)
+    return F.contains(text, F.lit(held)) if held else None
+
+
 def normalisation_usage(lookup: DataFrame) -> DataFrame:
-    """Rows that each normalisation rule applies to, by step."""
+    """Rows that each normalisation rule applies to, by step.
+
+    A rule's regex runs on the rows alone that hold the word or text that all its matches hold.
+    """
     low = F.lower("dosage")
-    hits = [
-        F.when(low.rlike(regex), F.struct(F.lit(step).alias("step"), F.lit(rule).alias("original_form"),
-                                          F.lit(to).alias("normalized_to")))
-        for step, rule, to, regex in normalisation_rules()
-    ]
+    texts = lookup.select(
+        low.alias("_low"), F.translate(low, ".", "").alias("_plain"), F.split(low, r"[^a-z0-9_]+").alias("_words")
+    )
+    hits = []
+    for step, rule, to, regex in normalisation_rules():
+        found = F.struct(F.lit(step).alias("step"), F.lit(rule).alias("original_form"), F.lit(to).alias("normalized_to"))
+        hit = F.when(F.col("_low").rlike(regex), found)
+        test = may_match(step, rule, regex, F.col("_low"), F.col("_plain"), F.col("_words"))
+        hits.append(hit if test is None else F.when(test, hit))
     return (
-        lookup.select(F.explode(F.array_compact(F.array(*hits))).alias("m"))
+        texts.select(F.explode(F.array_compact(F.array(*hits))).alias("m"))
         .groupBy("m.step", "m.normalized_to", "m.original_form")
         .agg(F.count(F.lit(1)).alias("row_count"))
         .orderBy("step", "normalized_to", F.desc("row_count"))
