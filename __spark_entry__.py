@@ -30,7 +30,7 @@ from posofold.operators.grammar import check_grammar
 from posofold.operators.regex_elements import read_leading
 from posofold.operators.spans import spans
 from posofold.plans import jobs
-from posofold.sources import tables, templates
+from posofold.sources import readings, tables, templates
 from posofold.sources.templates import case_sql, fill, literal, slots_sql
 from posofold.sources.vocabulary import normalisation_rules
 
@@ -224,6 +224,40 @@ def _spans(spark, sf_dir, chosen: bool, *columns: str):
     return found.where(F.col("s.chosen") == chosen).select(*ROW, *[F.col(f"s.{c}").alias(c) for c in columns])
 
 
+def _readings(spark, sf_dir):
+    jobs.configure(spark)
+    return corpus.count_instructions(readings.instructions(spark, sf_dir), ordered=False)
+
+
+def _reading_hits(spark, sf_dir):
+    """Each element of each instruction of the second corpus, with its pattern and fields."""
+    df = norm.normalise(_readings(spark, sf_dir)).withColumn("dosage_elements", F.col("dosage_lower"))
+    df = extract_elements(read_leading(df))
+    hits = []
+    for e in ELEMENTS:
+        named = [F.when(F.col(f"{e.key}_{f}") != "", F.concat(F.lit(f"{f}="), F.col(f"{e.key}_{f}"))) for f in e.fields]
+        fields = F.concat_ws(";", *named)
+        hit = F.struct(F.lit(e.key).alias("element"), F.col(f"{e.key}_pattern").alias("pattern"), F.col(f"{e.key}_clean").alias("clean"), fields.alias("fields"))
+        hits.append(F.when(F.col(f"{e.key}_pattern").isNotNull(), hit))
+    return df.select(*ROW, F.explode(F.array_compact(F.array(*hits))).alias("h")).select(*ROW, "h.*")
+
+
+def _reading_timing(spark, sf_dir):
+    """Numbers of the FHIR timing, where one of those that are rare is set."""
+    repeat = {
+        "period": "period", "periodMax": "periodMax", "unit": "periodUnit", "count": "count", "countMax": "countMax",
+        "low": "boundsRange.low.value", "high": "boundsRange.high.value",
+    }
+    df = refine(assess(_readings(spark, sf_dir))).where(F.col("mapped"))
+    found = df.select(*ROW, *[F.get_json_object("fhir_json", f"$.timing.repeat.{path}").alias(name) for name, path in repeat.items()])
+    rare = F.coalesce("periodMax", "count", "countMax", "low", "high", F.when(F.col("dosage").contains(" every "), F.col("period")))
+    return found.where(rare.isNotNull())
+
+
+def _reading_failures(spark, sf_dir):
+    return assess(_readings(spark, sf_dir)).where(F.col("exclude").startswith("numeric_fail")).select(*ROW, "exclude")
+
+
 def _p8_counts(spark, sf_dir):
     """A lookup of the even orders, renewed by a batch over all of them."""
     at = _datasets(spark)
@@ -319,6 +353,9 @@ def queries() -> dict[str, Query]:
         "P8_batch": _p8_batch,
         "P8_counts": _p8_counts,
         "SRC5_batch": _src5_batch,
+        "E_readings": _reading_hits,
+        "F3_timing": _reading_timing,
+        "NV1_negative": _reading_failures,
         "SRC4_SNK1_SNK2": _snk,
         "SNK3": _snk3,
         "SNK4": _snk4,
@@ -708,6 +745,9 @@ def oracle_sql() -> dict[str, str]:
             f"(PARTITION BY dosage_lower) AS top FROM ({_truth(assessed, 'WHERE mapped')})) WHERE top >= {BATCH_CUT}"
         ),
         "X4_spans": _chosen_spans(),
+        "E_readings": readings.hits_sql(),
+        "F3_timing": readings.timing_sql(),
+        "NV1_negative": readings.failures_sql(),
         "P8": f"SELECT dosage, count(*) AS dosage_count FROM ({lines}) GROUP BY 1 HAVING count(*) < {BATCH_CUT}",
         "N1": "SELECT doc_id, lower(text) AS text FROM documents",
         "N2": f"SELECT doc_id, {_SQUEEZED.format('text')} AS text FROM documents",
