@@ -254,6 +254,25 @@ def _reading_timing(spark, sf_dir):
     return found.where(rare.isNotNull())
 
 
+def _words(kind: str, name: str) -> Query:
+    """How the operators read each word of a kind."""
+
+    def run(spark, sf_dir):
+        jobs.configure(spark)
+        df = extract(corpus.count_instructions(readings.word_instructions(spark, sf_dir, kind), ordered=False))
+        read = F.regexp_replace("dosage_lower", "^1 tablet ", "") if name == "read_as" else F.col(name)
+        return df.select(*ROW, read.alias(name))
+
+    return run
+
+
+WORDS = {
+    "G9_routes": ("route", "route_clean"),
+    "N3_latin": ("latin", "read_as"),
+    "G8_purposes": ("purpose", "asNeededCodeableConcept_clean"),
+}
+
+
 def _reading_failures(spark, sf_dir):
     return assess(_readings(spark, sf_dir)).where(F.col("exclude").startswith("numeric_fail")).select(*ROW, "exclude")
 
@@ -425,6 +444,8 @@ def queries() -> dict[str, Query]:
         out[f"G{i}"] = _phrase(key)
     for name, columns in REFINED.items():
         out[name] = _refined_columns(columns)
+    for name, (kind, column) in WORDS.items():
+        out[name] = _words(kind, column)
     if corpus_queries:
         out.update(corpus_queries.queries())
     return out
@@ -819,6 +840,8 @@ def oracle_sql() -> dict[str, str]:
         "R8_R9": _coded_methods(),
         "R10_R11_R12": _coded_periods(),
     }
+    for name, (kind, column) in WORDS.items():
+        out[name] = readings.words_sql(kind, column)
     for name in ("R1", "R2", "R4_R5_R6"):
         out[name] = _truth({c: _REFINED_SQL[c] for c in REFINED[name]})
     for i, element in enumerate(ELEMENTS, start=1):

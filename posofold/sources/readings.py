@@ -84,3 +84,35 @@ def timing_sql() -> str:
 
 def failures_sql() -> str:
     return _truth({"exclude": value_sql("fails")}, [i for i, b in enumerate(blocks()) if "fails" in b])
+
+
+# how a word of each kind stands in an instruction
+FRAMES = {"route": "1 tablet {}", "latin": "1 tablet {}", "purpose": "1 tablet as needed for {}"}
+
+
+@cache
+def words(kind: str) -> list[tuple[str, str]]:
+    """(as written, as read) of the words of a kind."""
+    lines = (Path(__file__).parent / "words.txt").read_text().splitlines()
+    rows = [[part.strip() for part in line.split("|")] for line in lines if line and not line.startswith("#")]
+    return [(written, read) for k, written, read in rows if k == kind]
+
+
+def _word_sql(kind: str, column: int) -> str:
+    """The written or read form of the word of a line item."""
+    cases = " ".join(f"WHEN {i} THEN {literal(w[column])}" for i, w in enumerate(words(kind)))
+    return f"CASE CAST((l_partkey + 31 * l_linenumber) % {len(words(kind))} AS INT) {cases} END"
+
+
+def _framed(kind: str) -> str:
+    before, after = FRAMES[kind].split("{}")
+    return f"{literal(before)} || {_word_sql(kind, 0)} || {literal(after)}"
+
+
+def word_instructions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.expr(_framed(kind)).alias("dosage"))
+
+
+def words_sql(kind: str, name: str) -> str:
+    rows = f"SELECT {_framed(kind)} AS dosage, {_word_sql(kind, 1)} AS {name} FROM lineitem"
+    return f"SELECT dosage, count(*) AS dosage_count, {name} FROM ({rows}) GROUP BY ALL"
