@@ -5,8 +5,10 @@ longest tier for longer ones).  Each task packs each tier as one stream, cut at
 length, so windows have no gaps.  What is left in the tiers at the end of a task goes, long
 tiers first, into windows of the longest tier: gaps there are filled from the shorter ones.  The
 rest of these, less than one window, becomes windows of powers of two, so nothing is padded.
-Windows are dealt to step groups of STEP_TOKENS ids, each group of one tier: all steps have the
-same number of ids and one shape.
+Step groups are numbered after packing, over all tasks: windows of one length are counted by task,
+the counts are summed up in the order of tasks, and each STEP_TOKENS ids of windows are a group.
+So all steps have the same number of ids and one shape; only the last group of each length of
+window may be short.
 
 A task needs the ids of one slice of texts and one open window for each tier.  Words are
 tokenised once for each slice or taken from a bounded cache; white space always separates
@@ -29,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from posofold.llm.common import documents, released, slices, words
+from posofold.llm.common import documents, released, slices, stored, words
 
 TIERS = (512, 1024, 2048, 4096)
 END, STEP_TOKENS = 2, 32768
@@ -176,21 +179,17 @@ class _Tier:
         return found
 
 
-_COLUMNS = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
-    "tier long, step_group long"
-)
+_COLUMNS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long"
+_KINDS = 5  # bits of a sequence_id that tell tiers and tails apart; the task begins at bit 40
 
 
 def _packer(path: str, tiers: tuple[int, ...], with_ids: bool, cache: int, step: int):
     def rows(found, number: int, size: int) -> pa.RecordBatch:
         docs, start, length, total, window, offset, crc, ids, a, b = found
         base = TaskContext.get().partitionId() << 40
-        # The last digits tell tiers and tails apart.
-        sequence = base + window * 32 + number
-        group = base + window * size // STEP_TOKENS * 32 + number
+        sequence = base + (window << _KINDS) + number
         columns = [pa.array(docs, pa.int64()), *map(pa.array, (start, length)), pa.array(crc, pa.int64())]
-        columns += [*map(pa.array, (total, sequence, offset, np.full(len(docs), size), group))]
+        columns += [*map(pa.array, (total, sequence, offset, np.full(len(docs), size)))]
         names = [x.split()[0] for x in _COLUMNS.split(", ")]
         if with_ids:
             ends = np.concatenate(([0], np.cumsum(b - a))).astype(np.int32)
@@ -226,10 +225,26 @@ def _packer(path: str, tiers: tuple[int, ...], with_ids: bool, cache: int, step:
     return pack
 
 
+def _grouped(pieces: DataFrame) -> DataFrame:
+    """Pieces with the step group of their window."""
+    at = F.col("sequence_id")
+    pieces = pieces.withColumns({
+        "_task": F.shiftright(at, 40), "_kind": at.bitwiseAND((1 << _KINDS) - 1),
+        "_window": F.shiftright(at.bitwiseAND((1 << 40) - 1), _KINDS),
+    })
+    counts = pieces.groupBy("_task", "_kind").agg((F.max("_window") + 1).alias("_n"))  # a row for each task and length
+    earlier = Window.partitionBy("_kind").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_task", "_kind", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    group = F.floor((F.col("_before") + F.col("_window")) * F.col("tier") / STEP_TOKENS) * (1 << _KINDS) + F.col("_kind")
+    grouped = pieces.join(counts, ["_task", "_kind"]).withColumn("step_group", group.cast("long"))
+    return grouped.drop("_task", "_kind", "_window", "_before")
+
+
 def pack(
     docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, with_ids: bool = False, cache: int = CACHE, step: int = STEP_BYTES
 ) -> DataFrame:
     """Pieces of documents in windows; with_ids adds the ids of each piece."""
     if any(t & (t - 1) for t in tiers) or list(tiers) != sorted(set(tiers)) or STEP_TOKENS % tiers[-1]:
         raise ValueError("tiers are rising powers of two that divide a step")
-    return documents(docs).mapInArrow(_packer(path, tiers, with_ids, cache, step), _COLUMNS + ", ids array<long>" * with_ids)
+    packed = documents(docs).mapInArrow(_packer(path, tiers, with_ids, cache, step), _COLUMNS + ", ids array<long>" * with_ids)
+    return _grouped(stored(packed, "pieces"))

@@ -65,9 +65,28 @@ def test_packing_keeps_every_id_once(table, docs):
     for r in rows:
         steps.setdefault(r["step_group"], set()).add(r["tier"])
     assert all(len(t) == 1 for t in steps.values())
+    ids, shape = {}, {}
+    for r in rows:
+        ids[r["step_group"]] = ids.get(r["step_group"], 0) + r["length"]
+        shape[r["step_group"]] = r["step_group"] % 32
+    short = [shape[g] for g, n in ids.items() if n != packing.STEP_TOKENS]
+    assert max(ids.values()) <= packing.STEP_TOKENS and len(short) == len(set(short))
     assert packing.pack(table.limit(0), WORDS).count() == 0
 
 
+def test_step_groups_are_full_over_many_tasks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(7)
+    rows = packing.pack(docs, WORDS).collect()
+    ids, kind = {}, {}
+    for r in rows:
+        ids[r["step_group"]] = ids.get(r["step_group"], 0) + r["length"]
+        kind.setdefault(r["step_group"], set()).add((r["sequence_id"] % 32, r["tier"]))
+    assert all(len(k) == 1 for k in kind.values())
+    short = [next(iter(kind[g])) for g, n in ids.items() if n != packing.STEP_TOKENS]
+    assert len(short) == len(set(short)) and len({r["sequence_id"] >> 40 for r in rows}) == 7
+    assert sum(n == packing.STEP_TOKENS for n in ids.values()) > 8
+
+
 def test_language_is_found_for_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
