@@ -15,8 +15,9 @@ vector, its number of links and one edge to the smallest vector linked with it i
 plus edges that keep the block's linked vectors together: no pairs are listed.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and rows with null
-label or vec_id, link with nothing.  Rows that repeat a vec_id count as one vector (the first
-by value).  Vectors of different lengths never link.  Other columns are not read.
+label or vec_id, link with nothing.  Rows that repeat a vec_id are vectors of their own: each is
+compared with all others, and counts its own links.  Vectors of different lengths never link.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,14 +39,17 @@ _STEP = 1024  # rows in one matrix product
 _SLACK = 1e-6  # rounding in the distances to pivots; only candidates depend on it
 
 
-def _usable(vectors: DataFrame) -> DataFrame:
+def _numbered(vectors: DataFrame) -> DataFrame:
+    """All rows with a number that stays as it is."""
     values = F.col("embedding").cast("array<double>")
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), values.alias("v"))
-    rows = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull())
+    rows = vectors.select(F.col("vec_id").cast("long").alias("named"), F.col("label"), values.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
-    rows = rows.where(F.exists("v", lambda x: x != 0) & finite)
-    one = rows.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("s"))
-    return one.select("vec_id", "s.label", "s.v", F.size("s.v").alias("dim"))
+    known = F.col("named").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()
+    usable = F.coalesce(known & F.exists("v", lambda x: x != 0) & finite, F.lit(False))
+    return rows.select(
+        F.monotonically_increasing_id().alias("vec_id"), "named", F.when(usable, F.col("label")).alias("label"),
+        F.when(usable, F.col("v")).alias("v"), F.size("v").alias("dim"), usable.alias("usable"),
+    )
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -164,7 +168,8 @@ def _missing(linked, rows, columns, first, edge) -> list[tuple[np.ndarray, np.nd
 def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of vectors (vec_id, embedding, label)."""
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
-    rows = stored(_usable(vectors), "vectors")
+    every = stored(_numbered(vectors), "vectors")
+    rows = every.where("usable").select("vec_id", "label", "v", "dim")
     counts = rows.groupBy("label", "dim").count().where(F.col("count") > CELL)
     total = counts.agg(F.sum("count")).first()[0] or 0
     share = min(1 / CELL, MAX_PIVOTS / max(1, total))
@@ -196,14 +201,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     )
     counts = out.where("n > 0").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links"))
     classes = components(out.select("a", "b")).select(F.col("id").alias("vec_id"), "component")
-    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-    return (
-        every.join(counts, "vec_id", "left")
-        .join(classes, "vec_id", "left")
-        .select(
-            "vec_id",
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
-        )
-        .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    joined = every.select("vec_id", "named").join(counts, "vec_id", "left").join(classes, "vec_id", "left")
+    joined = stored(joined.withColumn("component", F.coalesce("component", "vec_id")), "classes")
+    # rows are named by their vec_id again; rows of one vec_id are one place on a path of links
+    ways = joined.where("named is not null").groupBy("component").agg(F.min("named").alias("least"))
+    met = joined.where("named is not null").select("named", "component").join(ways, "component")
+    shared = met.where("named <> least").select(F.col("named").alias("a"), F.col("least").alias("b"))
+    names = components(shared).select(F.col("id").alias("named"), F.col("component").alias("smallest"))
+    return joined.join(names, "named", "left").select(
+        F.col("named").alias("vec_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("smallest", "named").alias("component_id"),
+        F.col("named").eqNullSafe(F.coalesce("smallest", "named")).alias("kept"),
     )

@@ -103,5 +103,13 @@ def test_vectors_odd_tables(spark):
     rows = [(1, [1.0, 0.0], 1, 1, "x"), (1, [1.0, 0.0], 1, 2, "x"), (2, [1.0, 0.0], 1, 2, "x"), (None, [1.0, 0.0], 1, 3, None)]
     df = spark.createDataFrame(rows, kind)
     got = sorted(((r["vec_id"] or -1), r["n_links"], r["component_id"]) for r in embed_join.near_vectors(df).collect())
-    assert got == [(-1, 0, None), (1, 1, 1), (1, 1, 1), (2, 1, 1)]
+    assert got == [(-1, 0, None), (1, 2, 1), (1, 2, 1), (2, 2, 1)]
     assert embed_join.near_vectors(df.limit(0)).count() == 0
+
+
+def test_rows_that_repeat_a_vec_id_are_all_compared(spark):
+    rows = [(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (3, [0.0, 1.0], 1), (9, [1.0, 0.01], 1), (9, [1.0, 0.0], 2), (7, [-1.0, 0.0], 1), (5, None, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in embed_join.near_vectors(df).collect())
+    # the two vectors of 5 tie those of 3 and 9 together
+    assert got == sorted([(5, 1, 3, False), (5, 1, 3, False), (5, 0, 3, False), (3, 1, 3, True), (9, 1, 3, False), (9, 0, 3, False), (7, 0, 7, True)])
