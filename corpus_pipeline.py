@@ -40,8 +40,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known.where(F.col("fit") <= MAX_MISFIT).select(*COLUMNS)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return stored(_documents(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+def _rows(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """The documents with a number for each row: doc_id, if no two rows share one and all have one.
+    Otherwise, rows are numbered in a copy, so that the numbers stay as they are."""
+    docs = _documents(docs)
+    shared = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+    if shared.isEmpty():
+        return docs.withColumn("row", F.col("doc_id")), True
+    return stored(docs.withColumn("row", F.monotonically_increasing_id()), "rows"), False
 
 
 def _one_of_each(rows: DataFrame, groups: DataFrame, *better: Column) -> DataFrame:
@@ -52,19 +58,23 @@ def _one_of_each(rows: DataFrame, groups: DataFrame, *better: Column) -> DataFra
     return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
+def _of_groups(docs: DataFrame, find: Callable[[DataFrame], DataFrame], group: str, *better: Column) -> DataFrame:
+    """One row of each group that ``find`` names by the doc_id of the row to keep."""
+    rows, named = _rows(docs)
+    groups = find(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), F.col(group).alias("group"))
+    if named:
+        return rows.join(groups.where("row <> group"), "row", "left_anti").select(*COLUMNS)
+    return _one_of_each(rows, groups, *better)
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the most characters, of each group of equal texts."""
-    rows = _numbered(docs)
-    groups = exact_dedup.exact_dedup(rows.select(F.col("row").alias("doc_id"), "text"))
-    groups = groups.select(F.col("doc_id").alias("row"), F.col("keep_id").alias("group"))
-    return _one_of_each(rows, groups, -F.coalesce(F.char_length("text"), F.lit(0)))
+    return _of_groups(docs, exact_dedup.exact_dedup, "keep_id", -F.coalesce(F.char_length("text"), F.lit(0)))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest doc_id, of each group of near copies."""
-    rows = _numbered(docs)
-    groups = ngram_join.near_documents(rows.select(F.col("row").alias("doc_id"), "text"))
-    return _one_of_each(rows, groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")))
+    return _of_groups(docs, ngram_join.near_documents, "component_id")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
