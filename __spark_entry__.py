@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posofold import vocab
+from posofold.functions.lemma import base_forms
 from posofold.functions.stream import encode, tokens_of
 from posofold.operators import corpus, infer, reports
 from posofold.operators import normalise as norm
@@ -254,6 +255,15 @@ def _reading_timing(spark, sf_dir):
     return found.where(rare.isNotNull())
 
 
+def _base_forms(spark, sf_dir):
+    """How often each base form occurs in the normalised instructions, by spelling."""
+    words = F.filter(F.split("dosage_lower", "[^a-z]+"), lambda w: w != "")
+    rows = norm.normalise(_counted(spark, sf_dir)).select("dosage_count", words.alias("words"))
+    rows = rows.withColumn("bases", base_forms(F.col("words"))).select("dosage_count", F.explode(F.arrays_zip("words", "bases")).alias("w"))
+    rows = rows.select("dosage_count", F.col("w.words").alias("word"), F.col("w.bases").alias("base"))
+    return rows.groupBy("word", "base").agg(F.sum("dosage_count").alias("total_count"))
+
+
 def _words(kind: str, name: str) -> Query:
     """How the operators read each word of a kind."""
 
@@ -399,6 +409,7 @@ def queries() -> dict[str, Query]:
             *ROW, F.array_join(tokens_of(encode(F.col("dosage_lower"))), "").alias("glued")
         ),
         "X4_X5_X12": lambda s, d: _extracted(s, d).select(*ROW, "dosage_elements"),
+        "X2": _base_forms,
         "X4_spans": lambda s, d: _spans(s, d, True, "element", "pattern", "captured"),
         "X5_rejected": lambda s, d: _spans(s, d, False, "element", "pattern", "start", "size", "captured", "reason", "by"),
         "X6": lambda s, d: _tokens(s, d)
@@ -690,6 +701,23 @@ def _chosen_spans() -> str:
     return f"SELECT dosage, dosage_count, element, pattern, captured FROM ({' UNION ALL '.join(branches)})"
 
 
+# FIXED VALUES: the inflected words of the corpus with their base forms, written by hand.
+_INFLECTED = (
+    "required require, puffs puff, hours hour, needed need, meals meal, minutes minute, times time, days day, tablets tablet, "
+    "mls ml, waking wake, taken take, eyes eye, litres litre, spoonfuls spoonful, directed direct, weeks week, drops drop, "
+    "affected affect, mondays monday, used use, capsules capsule, patches patch, sachets sachet, doses dose, sprays spray"
+)
+
+
+def _base_forms_sql() -> str:
+    pairs = _values([tuple(p.split()) for p in _INFLECTED.split(", ")], "b(word, base)")
+    words = _truth({"norm": case_sql("norm")}, select="dosage_count, unnest(regexp_split_to_array(norm, '[^a-z]+')) AS word")
+    return (
+        "SELECT w.word, coalesce(b.base, w.word) AS base, CAST(sum(dosage_count) AS BIGINT) AS total_count "
+        f"FROM ({words}) w LEFT JOIN {pairs} ON b.word = w.word WHERE w.word <> '' GROUP BY ALL"
+    )
+
+
 def _report_sizes(out: dict[str, str]) -> str:
     """Rows of written reports, from the SQL of the reports themselves."""
     sources = {
@@ -765,6 +793,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT dosage, dosage_count, dosage_lower, buckets FROM (SELECT *, max(dosage_count) OVER "
             f"(PARTITION BY dosage_lower) AS top FROM ({_truth(assessed, 'WHERE mapped')})) WHERE top >= {BATCH_CUT}"
         ),
+        "X2": _base_forms_sql(),
         "X4_spans": _chosen_spans(),
         "E_readings": readings.hits_sql(),
         "F3_timing": readings.timing_sql(),

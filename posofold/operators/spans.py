@@ -24,7 +24,7 @@ from posofold.functions.fence import fence
 from posofold.functions.patterns import compile_pattern, needs
 from posofold.functions.stream import GLUE, SEP, encode
 from posofold.functions.text import sql_string
-from posofold.operators.elements import ELEMENTS
+from posofold.operators.elements import ELEMENTS, SHORTER_FIRST
 
 _MARK = "\u0003"
 _SPAN = "struct<priority:int,start:int,rank:int,size:int,element:string,pattern:string,hit:string>"
@@ -91,7 +91,7 @@ def resolve(df: DataFrame) -> DataFrame:
     df = df.selectExpr("*", f"{_first('true', '_dual')} AS _dual1", f"{_first(_is('methodDirect'))} AS _direct1")
     df = df.selectExpr("*", f"CASE WHEN {dose} THEN _dual1 ELSE _direct1 END AS _verb")
     free = f"(_verb IS NULL OR NOT {_overlap('h', '_verb')})"
-    roles = " OR ".join(_is(k) for k in ("frequencyWithMethod", "whenWithMethod"))
+    roles = " OR ".join(_is(longer) for shorter, longer in SHORTER_FIRST if shorter == "methodPassive")
     with_direct = f"(_verb IS NOT NULL AND _verb.element = 'methodDirect' AND ({roles}))"
     passive = _is("methodPassive")
     # of readings that begin at the same token the longer ones, with a number, come first
