@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from posofold import vocab
 from posofold.functions.lemma import base_forms
-from posofold.functions.stream import encode, tokens_of
+from posofold.functions.stream import encode, surface_forms, tokens_of
 from posofold.operators import corpus, infer, reports
 from posofold.operators import normalise as norm
 from posofold.operators.assess import assess, extract
@@ -33,7 +33,7 @@ from posofold.operators.spans import spans
 from posofold.plans import jobs
 from posofold.sources import readings, tables, templates
 from posofold.sources.templates import case_sql, fill, literal, slots_sql
-from posofold.sources.vocabulary import normalisation_rules
+from posofold.sources.vocabulary import normalisation_rules, term_rows
 
 # the corpus operators are optional; a fault inside them is no absence
 _OPTIONAL = ("corpus_pipeline", "posofold.llm")
@@ -718,6 +718,30 @@ def _base_forms_sql() -> str:
     )
 
 
+def _vocabulary_sql() -> str:
+    """Occurrences of vocabulary terms: sequences of words as spelled, and in base form where that differs."""
+    rows = [(kind, term) for kind, term, _ in term_rows()]
+    bases = [(word, base) for word, base in surface_forms().items()]
+    words = "regexp_extract_all(norm, '[a-z]+(?:\\(s\\))?|[^a-z ]+')"
+    sequences = " UNION ALL ".join(
+        f"SELECT dosage, dosage_count, array_to_string(list_slice(w, i, i + {n - 1}), ' ') AS spelled, "
+        f"array_to_string(list_slice(b, i, i + {n - 1}), ' ') AS based "
+        f"FROM (SELECT *, unnest(range(1, len(w) - {n - 2})) AS i FROM forms WHERE len(w) >= {n})"
+        for n in sorted({len(term.split()) for _, term in rows})
+    )
+    return (
+        f"WITH bases AS (SELECT map_from_entries(list((word, base))) AS m FROM {_values(bases, 'v(word, base)')}), "
+        f"texts AS (SELECT dosage, dosage_count, {words} AS w FROM ({_truth({'norm': case_sql('norm')})})), "
+        "forms AS (SELECT *, list_transform(w, lambda x: coalesce(m[x], x)) AS b FROM texts, bases), "
+        f"sequences AS ({sequences}), "
+        "hits AS (SELECT spelled AS term, dosage_count FROM sequences UNION ALL "
+        "SELECT based, dosage_count FROM sequences WHERE based <> spelled) "
+        "SELECT t.list, t.term, count(h.term) AS occurrences, CAST(coalesce(sum(h.dosage_count), 0) AS BIGINT) AS total_count "
+        f"FROM (SELECT row_number() OVER () AS n, * FROM {_values(rows, 'v(list, term)')}) t LEFT JOIN hits h ON h.term = t.term "
+        "GROUP BY t.n, t.list, t.term"
+    )
+
+
 def _report_sizes(out: dict[str, str]) -> str:
     """Rows of written reports, from the SQL of the reports themselves."""
     sources = {
@@ -864,6 +888,7 @@ def oracle_sql() -> dict[str, str]:
             f"({_truth({**sample, 'dosage_elements': case_sql('tags')}, 'WHERE m')}) GROUP BY 1"
         ),
         "A6": _patterns_sql(),
+        "A7": _vocabulary_sql(),
         "A8": _rules_sql(),
         "R3_R7": _coded_units(),
         "R8_R9": _coded_methods(),
