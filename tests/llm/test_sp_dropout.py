@@ -1,12 +1,16 @@
 import random
+import re
 
+import numpy as np
 import pytest
+import xxhash
 import sentencepiece
 
 from posofold.llm import sp_dropout
 from posofold.llm.queries import PIECE_TOKENIZER
 
 MODEL = PIECE_TOKENIZER
+SEGMENT = re.compile(r" +[^ ]*|[^ ]+")
 ODD = ["", " ", "  a  b ", "a▁b ▁ ▁▁x", "\x00\t\r\n", "日本語 🙂 é é", "a" * 500, "x y" * 50, "<s> </s> <0x41>", "     indented\n      more"]
 
 
@@ -54,7 +58,7 @@ def _plain(model, segment, dropout, key):
 
 def test_agenda_equals_a_plain_search(texts):
     model, rng = sp_dropout.model(MODEL), random.Random(1)
-    for segment in {s for t in texts[:40] for s in sp_dropout._SEGMENT.findall(" " + t)}:
+    for segment in {s for t in texts[:40] for s in SEGMENT.findall(" " + t)}:
         key = rng.getrandbits(64)
         assert model.encode(segment, 0.3, key) == model._agenda(segment, 0.3, key) == _plain(model, segment, 0.3, key)
 
@@ -75,12 +79,30 @@ def test_occurrences_are_cut_each_by_itself(texts):
     for dropout in (0.1, 0.6):  # cached results equal merging with the key
         encoder = sp_dropout.Encoder(MODEL, dropout)
         for text in texts[:20] + ODD[:-3]:
-            segments = sp_dropout._SEGMENT.findall(" " + text) if text else []
+            segments = SEGMENT.findall(" " + text) if text else []
             keys = sp_dropout.mix(sp_dropout.np.arange(5, 5 + len(segments), dtype=sp_dropout.np.uint64))
             want = [x for s, k in zip(segments, keys) for x in encoder.model.encode(s, dropout, int(k))]
             assert not segments or encoder._part(segments, keys)[0].tolist() == want
 
 
+def test_a_text_is_its_segments_with_keys_of_their_own(texts):
+    encoder = sp_dropout.Encoder(MODEL, 0.3, 7)
+    for doc_id, text in enumerate([*texts[:25], *ODD]):
+        segments = SEGMENT.findall(" " + text) if text else []
+        base = xxhash.xxh3_64_intdigest(str(doc_id), seed=7)
+        numbers = np.arange(len(segments), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(base)
+        want = [x for s, k in zip(segments, sp_dropout.mix(numbers)) for x in encoder.model.encode(s, 0.3, int(k))]
+        assert list(memoryview(encoder.encode(text, doc_id)).cast("I")) == want
+
+
+def test_neighbours_and_steps_change_nothing(texts, monkeypatch):
+    encoder = sp_dropout.Encoder(MODEL, 0.2)
+    some = [*texts[:20], *ODD, None]
+    together = encoder.encode_all(some, list(range(len(some))))
+    monkeypatch.setattr(sp_dropout, "_STEP", 3)
+    assert together == [encoder.encode(t, i) for i, t in enumerate(some)]
+
+
 def test_tables(spark, texts):
     rows = [(i, t, 0) for i, t in enumerate(texts[:30] + ODD)] + [(None, None, 1), (0, texts[0], 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int").repartition(3)
