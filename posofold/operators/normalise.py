@@ -45,17 +45,21 @@ NUMBER_WORDS = [(rf"\b{w}\b", str(i)) for i, w in enumerate(vocab.NUMBER_WORDS,
 ISOLATED = [(rf"\b{term}\b", meaning) for term, meaning in vocab.ISOLATED_TERMS]
 
 
-def replace_terms(text: Column, terms, guard: bool = True) -> Column:
-    """Apply ordered replacements, then collapse runs of white space."""
+def replace_terms(text: Column, terms, test: Column | None = None) -> Column:
+    """Apply ordered replacements where ``test`` holds, then collapse runs of white space."""
     result = text
     for pattern, replacement in terms:
         result = F.regexp_replace(result, pattern, replacement)
-    if guard and len(terms) > 3:
-        test = "|".join(f"(?:{pattern})" for pattern, _ in terms)
-        result = F.when(text.rlike(test), result).otherwise(text)
+    if test is not None:
+        result = F.when(test, result).otherwise(text)
     return F.regexp_replace(result, r"\s{2,}", " ")
 
 
+def _any_word(words, end: str = r"\b") -> str:
+    """One alternation behind one word boundary, so that other places fail at once."""
+    return rf"\b(?:{'|'.join(words)}){end}"
+
+
 def replace_dictionary(
     df: DataFrame,
     column: str,
@@ -73,11 +77,11 @@ def replace_dictionary(
         old, new = (right, left) if swap else (left, right)
         for term in [old] if isinstance(old, str) else list(old):
             ordered.append((rf"\b{term}\b" if isolated else term, new))
-    return df.withColumn(column, replace_terms(F.col(column), ordered, guard=False))
+    return df.withColumn(column, replace_terms(F.col(column), ordered))
 
 
 def lower_and_squeeze(text: Column) -> Column:
-    return F.regexp_replace(F.trim(F.lower(text)), r"[ \t]+", " ")
+    return F.regexp_replace(F.trim(F.lower(text)), r"[ \t]{2,}|\t", " ")  # a single blank stays as it is
 
 
 def tidy(text: Column) -> Column:
@@ -95,11 +99,16 @@ def screen(df: DataFrame, column: str) -> DataFrame:
     return df.withColumns({column: F.when(F.col("exclude").isNull(), F.col(column)).otherwise(F.lit(""))})
 
 
+# tests that are true wherever one of the replacements applies
+_ANY_LATIN = _any_word((r"\.?".join(word) for word, _ in vocab.LATIN), r"\.?(?!\w)")
+_ANY_NUMBER = _any_word(vocab.NUMBER_WORDS)
+_ANY_ISOLATED = _any_word(term for term, _ in vocab.ISOLATED_TERMS)
+
 STEPS = {
-    "latin": lambda t: replace_terms(t, LATIN),
-    "words_to_digits": lambda t: replace_terms(t, NUMBER_WORDS),
-    "units_of_measure": lambda t: replace_terms(t, vocab.SPOON_SPELLINGS),
-    "isolated_terms": lambda t: replace_terms(t, ISOLATED),
+    "latin": lambda t: replace_terms(t, LATIN, t.rlike(_ANY_LATIN)),
+    "words_to_digits": lambda t: replace_terms(t, NUMBER_WORDS, t.rlike(_ANY_NUMBER)),
+    "units_of_measure": lambda t: replace_terms(t, vocab.SPOON_SPELLINGS, F.contains(t, F.lit("spoon"))),
+    "isolated_terms": lambda t: replace_terms(t, ISOLATED, t.rlike(_ANY_ISOLATED)),
     "date_separators": lambda t: replace_terms(t, vocab.DATE_SEPARATORS),
     "number_ranges": lambda t: replace_terms(t, vocab.NUMBER_RANGES),
 }
