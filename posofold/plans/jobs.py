@@ -198,6 +198,8 @@ def run_batch(spark: SparkSession, at: Datasets, min_count: int | None) -> list[
     with configured(spark):
         before = latest(spark, at.lookup) if is_path(at.lookup) else None
         known = before if before and "digests" in before.facts else None
+        if known and version(spark, at.keys, known.facts["keys"]) is None:
+            known = None  # jobs that died have since pushed out the keys of the lookup
         return _refresh(spark, at, min_count, known.facts["buckets"] if known else BUCKETS, known)
 
 
@@ -219,8 +221,11 @@ def _digests(rows: DataFrame, buckets: int) -> dict[str, list[int]]:
 def _known_keys(spark: SparkSession, at: Datasets, before: Version) -> DataFrame | None:
     """Keys whose assessment still holds."""
     keys = read_version(spark, at.keys, version(spark, at.keys, before.facts["keys"]))
-    with_ = read_version(spark, at.assessed_with, version(spark, at.assessed_with, before.facts["assessed_with"]))
-    changed = vocabulary.changed_terms({tuple(r) for r in with_.collect()}, vocabulary.assessed_with())
+    terms = version(spark, at.assessed_with, before.facts["assessed_with"])
+    if terms is None:
+        return None
+    with_ = {tuple(r) for r in read_version(spark, at.assessed_with, terms).collect()}  # a bounded list
+    changed = vocabulary.changed_terms(with_, vocabulary.assessed_with())
     return None if changed is None else keys.where(~vocabulary.holds(corpus.KEY, changed))
 
 
@@ -251,13 +256,14 @@ def _refresh(spark: SparkSession, at: Datasets, min_count: int | None, buckets:
         write(assessed, at.keys)
         write(corpus.rejoin(normalised, read(spark, at.keys), grouped), at.lookup)
         return sorted(touched)
-    keys = write_parts(assessed.withColumn("bucket", _bucket(buckets)), at.keys, "bucket", sorted(touched), filled)
+    old_keys = version(spark, at.keys, before.facts["keys"]) if before else None
+    keys = write_parts(assessed.withColumn("bucket", _bucket(buckets)), at.keys, "bucket", old_keys, sorted(touched), filled)
     terms = spark.createDataFrame(sorted(vocabulary.assessed_with()), "list string, term string, entry string")
     write(terms, at.assessed_with)
     facts = {"buckets": buckets, "digests": digests, "keys": keys.number, "assessed_with": latest(spark, at.assessed_with).number}
     new = read_version(spark, at.keys, keys, [str(k) for k in filled])
     lookup = corpus.rejoin(normalised.where(here), new, grouped).withColumn("bucket", _bucket(buckets))
-    write_parts(lookup, at.lookup, "bucket", sorted(touched), filled, facts)
+    write_parts(lookup, at.lookup, "bucket", before, sorted(touched), filled, facts)
     return sorted(touched)
 
 

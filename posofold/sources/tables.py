@@ -59,8 +59,9 @@ def latest(spark: SparkSession, path: str) -> Version | None:
     return found[-1] if found else None
 
 
-def version(spark: SparkSession, path: str, number: int) -> Version:
-    return next(v for v in _versions(spark, path) if v.number == number)
+def version(spark: SparkSession, path: str, number: int) -> Version | None:
+    """A version by its number; None if it is gone."""
+    return next((v for v in _versions(spark, path) if v.number == number), None)
 
 
 def read_version(spark: SparkSession, path: str, at: Version, parts: list[str] | None = None) -> DataFrame:
@@ -140,12 +141,14 @@ def write(df: DataFrame, name: str, mode: str = "overwrite", facts: dict | None
     publish(spark, name, df.schema, {**kept, "all": [*kept.get("all", []), folder]}, facts)
 
 
-def write_parts(df: DataFrame, path: str, part: str, replaced: list[int], filled: list[int], facts: dict | None = None) -> Version:
-    """Replace the rows of the ``replaced`` values of the integer column ``part``; the folders of
-    other values stay as they are.  ``filled`` are those of them that have rows in ``df``."""
+def write_parts(
+    df: DataFrame, path: str, part: str, before: Version | None, replaced: list[int], filled: list[int], facts: dict | None = None
+) -> Version:
+    """A version like ``before``, but with the rows of ``df`` for the ``replaced`` values of the
+    integer column ``part``; the folders of other values stay as they are.  ``filled`` are those of
+    the replaced values that have rows."""
     spark, folder = df.sparkSession, f"data/{uuid.uuid4().hex}"
-    before = latest(spark, path)
-    kept = {k: v for k, v in (before.parts if before else {}).items() if k not in {"all", *map(str, replaced)}}
+    kept = {k: v for k, v in (before.parts if before else {}).items() if k not in set(map(str, replaced))}
     # AQE unites small parts and cuts a large one into several tasks
     df.hint("rebalance", part).write.partitionBy(part).parquet(f"{path.rstrip('/')}/{folder}")
     new = {str(k): [f"{folder}/{part}={k}"] for k in filled}
