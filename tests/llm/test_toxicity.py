@@ -141,3 +141,57 @@ def test_the_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(tx, "SAMPLE_BYTES", 10_000)
     tx.train(*frames)
     assert 40 <= sizes[0][0] <= 120 and 4_000 < sizes[1][1] < 20_000
+
+
+def test_all_labelled_texts_are_learned_from(spark, monkeypatch):
+    docs, labels = corpus(500, 9)
+    longest = max(i for i, _, t in labels if t and zlib.crc32(str(i).encode()) % 3 != 1)
+    docs = [(i, text + " goro" * 20_000 if i == longest else text, x, s) for i, text, x, s in docs]
+    for name, value in (("SAMPLE_DOCS", 5), ("SAMPLE_BYTES", 1000), ("SAMPLE_LONGEST", 100)):
+        monkeypatch.setattr(tx, name, value)
+    fitted, calibrated, start, cut = [], [], tx._start, tx._cut
+    monkeypatch.setattr(tx, "_start", lambda seen, texts: fitted.append((seen, texts)) or start(seen, texts))
+    monkeypatch.setattr(tx, "_cut", lambda n, hits, low, high: calibrated.append((n.sum(), hits.sum())) or cut(n, hits, low, high))
+    tx.toxicity(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    mine = [i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic = sum(labels[i][2] for i in mine)
+    (seen, texts), = fitted
+    assert sum(texts) + calibrated[0][0] == len(mine) and texts[1] + calibrated[0][1] == toxic
+    assert min(texts) > 50 and calibrated[0][0] > 50
+    # the counts are those of the texts one by one, the long one among them
+    ids = spark.createDataFrame([(i,) for i in mine], "doc_id long").selectExpr("doc_id", f"pmod(xxhash64(doc_id, {tx.SEED}), 4) = 3 AS spared")
+    rows = [r.doc_id for r in ids.collect() if not r.spared]
+    expected = np.zeros((2, tx.BUCKETS), int)
+    for i in rows:
+        words = {w for w in "".join(c if c.isalpha() else " " for c in docs[i][1].lower()).split()}
+        expected[labels[i][2]] += np.bincount(tx.featured(pa.array(sorted(words))).bucket, minlength=tx.BUCKETS)
+    assert (seen == expected).all()
+
+
+def test_several_shards(spark, monkeypatch):
+    docs, labels = corpus(900, 10)
+    monkeypatch.setattr(tx, "SHARD_BYTES", 20_000)
+    frames = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = [r for r in tx.toxicity(*frames).collect() if r.held_out]
+    toxic = {i: t for i, _, t in labels}
+    assert sum(r.predicted == toxic[r.doc_id] for r in got) / len(got) > 0.95
+    again = {r.doc_id: r.score for r in tx.toxicity(frames[0].repartition(3), frames[1].repartition(2)).collect()}
+    assert all(abs(again[r.doc_id] - r.score) < 1e-5 for r in got)
+
+
+def test_a_trainer_goes_on_from_its_own_rows():
+    net = tx._start(np.ones((2, tx.BUCKETS)), (3, 4))
+    one, two = tx._Trainer(net, 0.4), tx._Trainer(tx._start(np.ones((2, tx.BUCKETS)), (3, 4)), 0.4)
+    docs, labels = corpus(40, 11)
+    coded, row = tx._words(pa.array([d[1] for d in docs]))
+    toxic = np.array([x[2] for x in labels])
+    one.learn(tx.featured(coded.dictionary), coded.indices.to_numpy().astype(np.int64), row, toxic, np.arange(40), np.random.default_rng(1))
+    two.take(_means(one.rows()))
+    assert np.allclose(one.net.table, two.net.table) and np.allclose(one.table.sum, two.table.sum)
+    assert all(np.allclose(a, b) for x, y in zip(one._dense(), two._dense()) for a, b in zip(x, y))
+    assert abs(one.net.base - two.net.base) < 1e-6 and np.allclose(one.base.sum, two.base.sum)
+
+
+def _means(rows):
+    values = [pa.array(rows.column(c).to_numpy() / tx._UNIT, pa.float32()) for c in tx._VALUES]
+    return pa.table([rows.column("at"), *values], names=["at", *tx._VALUES])
