@@ -35,10 +35,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from posofold.llm.common import Rolling, components, documents, hash_words, mix, slices, stored, words
+from posofold.llm.common import Rolling, components, documents, hash_words, mix, released, slices, stored, words
 from posofold.llm.substring import _unpacked, packed
 
 K, GROUPS, TILE, LEAF = 5, 256, 1024, 16
+STEP_BYTES = 1 << 20  # of text whose shingles are in memory at once: some forty times as much
+KNOWN = 1 << 14  # sets that a task remembers to have sent
 
 
 class _Sets:
@@ -65,30 +67,34 @@ class _Sets:
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, step=STEP_BYTES):
         s = _Sets(batch.column("text"))
         ids = pa.array(s.id, mask=s.size == 0)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s.size), ids], ["doc_id", "n_shingles", "set_id"])
+    released()
 
 
 def _low_half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The half of each distinct set with the smallest hashes."""
-    for batch in slices(batches):
+    """The half of each distinct set with the smallest hashes (again if it comes back after ``KNOWN`` others)."""
+    known = np.zeros(0, np.int64)
+    for batch in slices(batches, step=STEP_BYTES):
         s = _Sets(batch.column("text"))
         _, first = np.unique(s.id, return_index=True)
         once = np.zeros(len(s.id), bool)
-        once[first] = True
+        once[first] = ~np.isin(s.id[first], known)
+        known = np.concatenate((known, s.id[once]))[-KNOWN:]
         taken = once[s.row] & (np.arange(len(s.row)) - s.start[s.row] < (s.size[s.row] + 1) // 2)
         row = s.row[taken]
         yield pa.RecordBatch.from_arrays(
             [pa.array(s.hashes[taken].view(np.int64)), pa.array(s.id[row]), pa.array(s.size[row].astype(np.int32))],
             ["shingle", "set_id", "n"],
         )
+    released()
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole sets and their counts by group."""
-    for batch in slices(_unpacked(batches)):
+    for batch in slices(_unpacked(batches), step=STEP_BYTES):
         s = _Sets(batch.column("text"))
         group = (s.hashes >> np.uint64(40)).astype(np.int64) % GROUPS
         counts = np.bincount(s.row * GROUPS + group, minlength=len(s.size) * GROUPS).astype(np.int32)
@@ -99,6 +105,7 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = pa.RecordBatch.from_arrays(columns, ["set_id", "shingles", "point"])
         # Rows that repeat a doc_id with another text have another set.
         yield found.filter(pc.equal(found.column("set_id"), pa.array(s.id)))
+    released()
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,6 +123,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at[at == len(x)] = 0
             keep.append(7 * int((x[at] == y).sum()) >= 3 * n)
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    released()
 
 
 class RTree:

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from posofold.llm import ngram_join
@@ -56,3 +58,15 @@ def test_tree_never_loses_a_pair():
     for i, p in enumerate(points):
         want = 7 * np.minimum(points, p).sum(axis=1) >= 3 * (size + size[i])
         assert sorted(tree.candidates(p)) == np.flatnonzero(want).tolist()
+
+
+def test_memory_of_low_halves_does_not_grow_with_the_batch():
+    """A batch of many texts is worked off in steps, and a set that comes back is not sent again."""
+    r = random.Random(3)
+    texts = [" ".join(f"w{r.randrange(50_000)}" for _ in range(400)) for _ in range(2500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    sent = [b.num_rows for b in ngram_join._low_half(iter([batch, batch.slice(0, 500)]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sent) == 2500 * 198 and most < 32 << 20, (sum(sent), most)
