@@ -70,6 +70,18 @@ def case_sql(field: str, default: str = "NULL") -> str:
     return f"CASE template {cases} ELSE {default} END" if cases else default
 
 
+def fill_sql(field: str) -> tuple[str, str]:
+    """Two steps of Spark SQL that together mean ``case_sql(field)``: the text is picked by its number, not compared with
+    one number after another, and its marks are replaced.  A missing slot matters where it is used."""
+    texts = ", ".join(literal(b[field]) if field in b else "CAST(NULL AS STRING)" for b in blocks())
+    names = [*SLOTS, "SHIP"]
+    filled = "_text"
+    for n in names:
+        filled = f"replace({filled}, '<{n}>', coalesce({n}, ''))"
+    missing = " OR ".join(f"({n} IS NULL AND contains(_text, '<{n}>'))" for n in names)
+    return f"get(array({texts}), template) AS _text", f"CASE WHEN NOT ({missing}) THEN {filled} END"
+
+
 def instructions(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """``dosage`` of every line item that meets a condition."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where(where).select(
@@ -79,7 +91,8 @@ def instructions(spark: SparkSession, sf_dir: str, where: str = "true") -> DataF
     number = f"CAST((l_partkey + 31 * l_suppkey + 7 * l_linenumber) % {len(blocks())} AS INT) AS template"
     slots = [f"CAST({sql} AS STRING) AS {name}" for name, sql in SLOTS.items()]
     filled = items.selectExpr(number, *slots, f"{ship} AS SHIP")
-    return filled.select(F.expr(case_sql("text")).alias("dosage"))
+    picked, text = fill_sql("text")
+    return filled.selectExpr("*", picked).select(F.expr(text).alias("dosage"))
 
 
 WIDE = "take <A> tablets <C> times a day for <Q> days from <SHIP>"
