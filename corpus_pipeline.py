@@ -24,8 +24,8 @@ TOKENIZER = os.environ.get("WORD_TOKENIZER") or public_tokenizers.path("word_bpe
 #: Rejected are texts without letters, texts whose best language is no more likely than this, and
 #: texts whose n-grams are less likely, by this much on average, than any that the language was learned from.
 MIN_SCORE, MAX_MISFIT = 0.5, 0.5
-#: Workers outlive a stage: the tokenizer leaves memory for the others.
-CACHE, STEP_BYTES = 60_000, 4 << 20
+#: Workers outlive a stage: the tokenizer leaves memory for the others.  A step takes some forty times as much.
+CACHE, STEP_BYTES = 60_000, 1 << 20
 
 
 def _documents(docs: DataFrame) -> DataFrame:

@@ -122,6 +122,7 @@ def _vocabulary(path: str, cache: int) -> _Vocabulary:
     if (path, cache) not in _tokenizers:
         _tokenizers.clear()
         _tokenizers[path, cache] = _Vocabulary(path, cache)
+        released()  # what the file was parsed to
     return _tokenizers[path, cache]
 
 

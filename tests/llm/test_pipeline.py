@@ -1,11 +1,14 @@
+import random
 import re
+import tracemalloc
+from types import SimpleNamespace
 
 import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from posofold.llm import packing
+from posofold.llm import packing, secrets
 from tests.llm import brute
 
 DATA = "/root/testdata/sf0.001"
@@ -78,3 +81,38 @@ def test_empty_table(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def _most(rows) -> tuple[int, int]:
+    """Rows out, and bytes in use at most meanwhile."""
+    tracemalloc.start()
+    n = sum(b.num_rows for b in rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return n, most
+
+
+def _batch(n: int) -> pa.RecordBatch:
+    r = random.Random(5)
+    texts = [" ".join(f"{r.choice('abcdef')}{r.randrange(3000)}" for _ in range(400)) for _ in range(n)]
+    return pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(texts), pa.array([None] * n, pa.string())], ["doc_id", "text", "source"])
+
+
+def test_memory_of_windows_does_not_grow_with_the_batch(monkeypatch):
+    """The stage's settings work a batch of 4 MB off in steps."""
+    seen = {}
+    monkeypatch.setattr(packing, "pack", lambda docs, path, **given: seen.update(given))
+    corpus_pipeline.windows(None, None, "")
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(packing, "_tokenizers", {})
+    work = packing._packer(corpus_pipeline.TOKENIZER, packing.TIERS, False, seen["cache"], seen["step"])
+    assert sum(b.num_rows for b in work(iter([_batch(1)])))  # the vocabulary is there
+    n, most = _most(work(iter([_batch(2000)])))
+    assert n >= 2000 and most < 48 << 20, most
+
+
+def test_memory_of_secrets_does_not_grow_with_the_batch():
+    forest = secrets.train(secrets.labelled_findings(n=200))
+    work = secrets._scanner(SimpleNamespace(value=forest), secrets.THRESHOLD)
+    n, most = _most(work(iter([_batch(2000)])))
+    assert n == 2000 and most < 3 << 20, most
